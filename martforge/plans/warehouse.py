@@ -3,22 +3,31 @@
 Two runs are applied to the driver's tables (see ``sources.fixtures``): the
 first creates every dimension, the second brings a customer snapshot with
 movers and opt-in flips, so the SCD2 dimension carries real history when the
-facts are built.  Every layer is written to the shared checkpoint folder and
-read back: later stages start from files (lineage cut, executor-loss safe)
-and the planner sees true table sizes when it decides on broadcasts.
+facts are built.  Every layer that is read more than once is written to the
+shared checkpoint folder and read back: later stages start from files
+(lineage cut, executor-loss safe) and the planner sees true table sizes when
+it decides on broadcasts.
+
+Independent tables of a step (e.g. the four dimensions of a run) are written
+as concurrent Spark jobs from a small thread pool, so that small or narrow
+jobs do not leave executors idle while they wait for each other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.operators.quality import dq_report
+from martforge.operators.quality import dq_enforce, dq_report
 from martforge.plans import dims, facts, staging
 from martforge.sources import fixtures
 from martforge.sources.store import TableStore
 
+MAX_CONCURRENT_JOBS = 4
+
 
 @dataclass
 class Warehouse:
@@ -35,15 +44,27 @@ class Warehouse:
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 
+def _concurrently(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    if len(jobs) == 1:
+        return {k: f() for k, f in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_JOBS, len(jobs))) as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def build_from_feeds(spark: SparkSession, runs: list[tuple[dict[str, DataFrame], str]], store: TableStore | None = None,
                      materialize: bool = True, gate: bool = False) -> Warehouse:
     """Apply each (raw feeds, run_ts) load in order; returns the final tables.
 
     Dimensions accumulate across runs (insert-if-absent, SCD1 upsert, SCD2);
-    staging and facts are full refreshes of the last run.
+    staging and facts are full refreshes of the last run.  With ``gate`` the
+    data-quality suite must pass before the build is returned.
     """
     store = store or TableStore(spark)
-    keep = store.materialize if materialize else (lambda name, df, **kw: df)
+
+    def keep(name: str, df: DataFrame) -> Callable[[], DataFrame]:
+        return (lambda: store.materialize(name, df)) if materialize else (lambda: df)
+
     w = Warehouse()
     d_date = dims.empty(spark, dims.DIM_DATE_SCHEMA)
     d_geo = dims.empty(spark, dims.DIM_GEOGRAPHY_SCHEMA)
@@ -51,24 +72,48 @@ def build_from_feeds(spark: SparkSession, runs: list[tuple[dict[str, DataFrame],
     d_prod = dims.empty(spark, dims.DIM_PRODUCT_SCHEMA)
     stg: dict[str, DataFrame] = {}
     for i, (raw, run_ts) in enumerate(runs, start=1):
-        stg = {k: keep(f"run{i}.staging.{k}", v) for k, v in staging.stage_all(raw).items()}
-        w.tables[f"run{i}.staging.customers"] = stg["customers"]
+        last = i == len(runs)
+        # Staging feeds the dimensions of the same run; only the last run's
+        # staging also feeds the facts, so earlier runs write customers only
+        # (read by three dimension builds) and leave the rest lazy.
+        cust = keep(f"run{i}.staging.customers", staging.stage_customers(raw["customers"]))()
+        prod = staging.stage_products(raw["products"])
+        orders = staging.stage_orders(raw["orders"], cust)
+        sessions = staging.stage_sessions(raw["sessions"], cust)
+        if last:
+            done = _concurrently({"products": keep(f"run{i}.staging.products", prod),
+                                  "orders": keep(f"run{i}.staging.orders", orders),
+                                  "sessions": keep(f"run{i}.staging.sessions", sessions)})
+            prod, orders, sessions = done["products"], done["orders"], done["sessions"]
+        items = staging.stage_order_items(raw["order_items"], orders, prod)
+        stg = {"customers": cust, "products": prod, "orders": orders, "order_items": items, "sessions": sessions}
+        w.tables[f"run{i}.staging.customers"] = cust
         w.tables[f"run{i}.marts.dim_customer_before"] = d_cust
         w.tables[f"run{i}.marts.dim_geography_before"] = d_geo
-        d_date = keep(f"run{i}.marts.dim_date", dims.dim_date(d_date, stg))
-        d_geo = keep(f"run{i}.marts.dim_geography", dims.dim_geography(d_geo, stg["customers"]))
+        jobs = {
+            "date": keep(f"run{i}.marts.dim_date", dims.dim_date(d_date, stg)),
+            "geo": keep(f"run{i}.marts.dim_geography", dims.dim_geography(d_geo, cust)),
+            "cust": keep(f"run{i}.marts.dim_customer", dims.dim_customer(d_cust, cust, run_ts)),
+            "prod": keep(f"run{i}.marts.dim_product", dims.dim_product(d_prod, prod)),
+        }
+        if last:
+            jobs["items"] = keep(f"run{i}.staging.order_items", items)
+        done = _concurrently(jobs)
+        d_date, d_geo, d_cust, d_prod = done["date"], done["geo"], done["cust"], done["prod"]
+        if last:
+            stg["order_items"] = done["items"]
         w.tables[f"run{i}.marts.dim_geography"] = d_geo
-        d_cust = keep(f"run{i}.marts.dim_customer", dims.dim_customer(d_cust, stg["customers"], run_ts))
-        d_prod = keep(f"run{i}.marts.dim_product", dims.dim_product(d_prod, stg["products"]))
-        w.tables[f"run{i}.raw"] = raw  # type: ignore[assignment]
     for k, v in stg.items():
         w.tables[f"staging.{k}"] = v
     w.tables.update({"marts.dim_date": d_date, "marts.dim_geography": d_geo,
                      "marts.dim_customer": d_cust, "marts.dim_product": d_prod})
-    w.tables["marts.fact_orders"] = keep("marts.fact_orders", facts.fact_orders(stg["orders"], stg["order_items"], d_prod, d_cust))
-    w.tables["marts.fact_sessions"] = keep("marts.fact_sessions", facts.fact_sessions(stg["sessions"], d_cust))
+    done = _concurrently({
+        "fact_orders": keep("marts.fact_orders", facts.fact_orders(stg["orders"], stg["order_items"], d_prod, d_cust)),
+        "fact_sessions": keep("marts.fact_sessions", facts.fact_sessions(stg["sessions"], d_cust)),
+    })
+    w.tables["marts.fact_orders"] = done["fact_orders"]
+    w.tables["marts.fact_sessions"] = done["fact_sessions"]
     if gate:
-        from martforge.operators.quality import dq_enforce
         dq_enforce(dq_report(w["marts.fact_orders"], d_cust, d_prod))
     return w
 

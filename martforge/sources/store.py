@@ -61,5 +61,9 @@ class TableStore:
         return fresh
 
     def materialize(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        """Write and read back (publish immediately): a lineage cut that survives executor loss."""
-        return self.refresh(name, df, partition_by)
+        """Write a private version and read it back: a lineage cut that survives executor loss.
+
+        Nothing is published (no pointer move); use ``refresh`` for that.
+        """
+        version = self.write_version(name, df, partition_by)
+        return self.read(name, version)
