@@ -8,8 +8,9 @@ Per feed:
 1. required-field prefilter *before* dedup, so the newest valid row wins;
 2. keep-newest dedup on the *typed* key (``' 1'`` and ``'1'`` are one key),
    ordered by ``loaded_at`` then every raw column as tie-breaker;
-3. typed casts of the winners only (a superseded row never aborts a load);
-4. domain filters and semi-joins.
+3. domain filters and semi-joins (on the typed references);
+4. typed casts of the surviving rows only: a superseded or filtered row never
+   aborts a load, as the database evaluates the select list after WHERE.
 
 ``strict=True`` (default) aborts on malformed values like a database cast;
 ``strict=False`` turns them into NULL and ``reject_summary`` reports them.
@@ -66,12 +67,19 @@ def stage_products(raw: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def _orders_typed(raw: DataFrame, strict: bool) -> DataFrame:
+def _orders_typed(raw: DataFrame, strict: bool, customers: DataFrame | None = None) -> DataFrame:
+    """Deduplicated, typed orders.  With ``customers``, the domain filter and the
+    customer semi-join run *before* the payload casts, so a malformed value in a
+    row that is filtered out never aborts the load."""
     pre = raw.where(F.col("order_id").isNotNull())
     w = _keyed_dedup(pre, {"order_id": ("order_id", _LONG)}, strict)
+    w = w.withColumn("__customer_id", C.typed("customer_id", _LONG, strict))
+    if customers is not None:
+        in_domain = F.lower(F.trim("status")).isin(*S.ORDER_STATUSES) & F.lower(F.trim("channel")).isin(*S.CHANNELS)
+        w = semi_join(w.where(in_domain), customers, ["__customer_id"], ["customer_id"])
     return w.select(
         F.col("__k_order_id").alias("order_id"),
-        C.typed("customer_id", _LONG, strict).alias("customer_id"),
+        F.col("__customer_id").alias("customer_id"),
         C.typed("order_ts", _TS, strict).alias("order_ts"),
         F.lower(F.trim("status")).alias("status"),
         F.lower(F.trim("channel")).alias("channel"),
@@ -85,32 +93,36 @@ def _in_domain() -> F.Column:
 
 
 def stage_orders(raw: DataFrame, customers: DataFrame, strict: bool = True) -> DataFrame:
-    typed = _orders_typed(raw, strict).where(_in_domain())
-    return semi_join(typed, customers, ["customer_id"])
+    return _orders_typed(raw, strict, customers)
 
 
-def _items_typed(raw: DataFrame, strict: bool) -> DataFrame:
+def _items_typed(raw: DataFrame, strict: bool, orders: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
     w = _keyed_dedup(raw, {"order_id": ("order_id", _LONG), "line_no": ("line_no", _INT)}, strict)
+    w = w.withColumn("__product_id", C.typed("product_id", _LONG, strict))
+    if orders is not None:
+        w = semi_join(semi_join(w, orders, ["__k_order_id"], ["order_id"]), products, ["__product_id"], ["product_id"])
     return w.select(
         F.col("__k_order_id").alias("order_id"),
         F.col("__k_line_no").alias("line_no"),
-        C.typed("product_id", _LONG, strict).alias("product_id"),
+        F.col("__product_id").alias("product_id"),
         C.typed("quantity", _INT, strict).alias("quantity"),
         C.parse_money("unit_price", strict).alias("unit_price"),
     )
 
 
 def stage_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame, strict: bool = True) -> DataFrame:
-    typed = _items_typed(raw, strict)
-    return semi_join(semi_join(typed, orders, ["order_id"]), products, ["product_id"])
+    return _items_typed(raw, strict, orders, products)
 
 
-def _sessions_typed(raw: DataFrame, strict: bool) -> DataFrame:
+def _sessions_typed(raw: DataFrame, strict: bool, customers: DataFrame | None = None) -> DataFrame:
     keyed = raw.select(C.uuid_text("session_id", strict).alias("__k_session_id"), *raw.columns)
     w = dedup_latest(keyed, ["__k_session_id"], ["loaded_at"], tiebreak=list(raw.columns[:-1]))
+    w = w.withColumn("__customer_id", C.typed(F.nullif(F.col("customer_id"), F.lit("")), _LONG, strict))
+    if customers is not None:
+        w = optional_reference_filter(w, customers.select(F.col("customer_id").alias("__customer_id")), "__customer_id")
     return w.select(
         F.col("__k_session_id").alias("session_id"),
-        C.typed(F.nullif(F.col("customer_id"), F.lit("")), _LONG, strict).alias("customer_id"),
+        F.col("__customer_id").alias("customer_id"),
         C.typed("started_ts", _TS, strict).alias("started_ts"),
         C.typed("ended_ts", _TS, strict).alias("ended_ts"),
         C.typed("pages_viewed", _INT, strict).alias("pages_viewed"),
@@ -123,8 +135,12 @@ def _sessions_typed(raw: DataFrame, strict: bool) -> DataFrame:
 
 
 def stage_sessions(raw: DataFrame, customers: DataFrame, strict: bool = True) -> DataFrame:
-    """Anonymous sessions (blank/NULL customer) pass; known ones need a staged customer."""
-    return optional_reference_filter(_sessions_typed(raw, strict), customers, "customer_id")
+    """Anonymous sessions (blank/NULL customer) pass; known ones need a staged customer.
+
+    Blank is normalised to NULL first; the disjunction ``anonymous OR EXISTS``
+    is then a union of the anonymous rows and a semi-join of the known ones.
+    """
+    return _sessions_typed(raw, strict, customers)
 
 
 def stage_all(raw: dict[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:
@@ -194,9 +210,6 @@ def reject_summary(raw: dict[str, DataFrame]) -> DataFrame:
     feed_rows("sessions", [], {"session_id": "uuid"})
 
     # Winners with a malformed payload value, or filtered by domain / parents.
-    def winners(feed, typed_fn, keyname):
-        return typed_fn(raw[feed], False)
-
     cw = _keyed_dedup(raw["customers"].where(F.col("customer_id").isNotNull() & F.col("email").isNotNull()),
                       {"customer_id": ("customer_id", _LONG)}, False).where(F.col("__k_customer_id").isNotNull())
     parts.append(_counts("customers", cw, F.when(_bad_value(cw, {"signup_ts": F.col("signup_ts").try_cast(_TS)}), F.lit("bad_value")))
@@ -222,12 +235,10 @@ def reject_summary(raw: dict[str, DataFrame]) -> DataFrame:
     parts.append(_counts("order_items", iw, i_reason).groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rows")))
 
     sw = _sessions_typed(raw["sessions"], False).where(F.col("session_id").isNotNull())
-    s_raw = raw["sessions"]
     s_bad = F.col("started_ts").isNull() | F.col("ended_ts").isNull() | F.col("pages_viewed").isNull()
     sw = sw.join(stg["customers"].select("customer_id", F.lit(True).alias("__c")), "customer_id", "left")
     s_reason = F.when(s_bad, F.lit("bad_value")).when(F.col("customer_id").isNotNull() & F.col("__c").isNull(), F.lit("orphan"))
     parts.append(_counts("sessions", sw, s_reason).groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rows")))
-    del s_raw
 
     out = parts[0]
     for p in parts[1:]:
