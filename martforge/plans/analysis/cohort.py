@@ -6,14 +6,13 @@ Customers are identified by ``customer_key`` — a *version* — as in the
 source warehouse (``by="customer"`` counts natural customers instead).
 
 Plan: activity is pre-aggregated to distinct (customer, month) with a
-partial aggregate before any shuffle; the first month is a second small
-aggregate; both joins are on the customer key.  Per (cohort, offset) each
-customer appears once, so the distinct count is a plain count.
+partial aggregate before any shuffle; per (cohort, offset) each customer
+appears once, so the distinct count is a plain count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martforge.functions import columns as C
@@ -44,19 +43,23 @@ def cohort_sizes(first_order: DataFrame) -> DataFrame:
 
 
 def cohort_retention(marts: dict[str, DataFrame], by: str = "version") -> DataFrame:
+    """One scan of the fact.
+
+    The first month is a window minimum over a customer's distinct active
+    months (at most one row per month per customer, so no large window
+    partition even for a heavy customer).  Every member is active in its
+    cohort month, so the cohort size is the offset-0 count, taken with a
+    window over the small (cohort x offset) grid instead of a second scan.
+    """
     who = _who(by)
     activity = customer_activity(marts, by)
-    first = activity.groupBy(who).agg(F.min("activity_month").alias("cohort_month"))
-    sizes = cohort_sizes(first)
-    joined = activity.join(first, who).select(
-        "cohort_month", C.month_diff("activity_month", "cohort_month").alias("months_since_signup"))
-    grid = joined.groupBy("cohort_month", "months_since_signup").agg(F.count(F.lit(1)).alias("active_customers"))
-    # cohorts are months: a bounded, tiny side
-    out = grid.join(F.broadcast(sizes), "cohort_month")
-    return out.select(
-        "cohort_month", F.col("n_customers").alias("cohort_size"), "months_since_signup", "active_customers",
-        C.pct("active_customers", "n_customers").alias("retention_pct"),
-    )
+    with_cohort = activity.withColumn("cohort_month", F.min("activity_month").over(Window.partitionBy(who)))
+    grid = with_cohort.groupBy("cohort_month", C.month_diff("activity_month", "cohort_month").alias("months_since_signup")) \
+        .agg(F.count(F.lit(1)).alias("active_customers"))
+    size = F.max(F.when(F.col("months_since_signup") == 0, F.col("active_customers"))).over(Window.partitionBy("cohort_month"))
+    return grid.select(
+        "cohort_month", size.alias("cohort_size"), "months_since_signup", "active_customers",
+    ).withColumn("retention_pct", C.pct("active_customers", "cohort_size"))
 
 
 def recent_cohorts(retention: DataFrame, months_back: int = 6) -> DataFrame:

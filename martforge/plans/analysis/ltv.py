@@ -33,15 +33,13 @@ def customer_month_revenue(marts: dict[str, DataFrame]) -> DataFrame:
     ).withColumn("months_since_signup", C.month_diff("month", "cohort_month"))
 
 
-def _sizes(cm: DataFrame) -> DataFrame:
-    return cm.where(F.col("months_since_signup") == 0).groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
-
-
 def customer_ltv(marts: dict[str, DataFrame]) -> DataFrame:
     cm = customer_month_revenue(marts)
     grid = cm.groupBy("cohort_month", "months_since_signup").agg(
         F.count(F.lit(1)).alias("active_customers"), F.sum("cumulative_revenue").alias("cum_sum"))
-    out = grid.join(F.broadcast(_sizes(cm)), "cohort_month")
+    # every member is active in its first month: cohort size = offset-0 count (window over the small grid)
+    size = F.max(F.when(F.col("months_since_signup") == 0, F.col("active_customers"))).over(Window.partitionBy("cohort_month"))
+    out = grid.withColumn("cohort_size", size)
     return out.select(
         "cohort_month", "months_since_signup", F.col("cohort_size").cast("long").alias("cohort_size"),
         F.col("active_customers").cast("long").alias("active_customers"),

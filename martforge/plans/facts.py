@@ -49,8 +49,16 @@ def fact_orders(orders: DataFrame, items: DataFrame, dim_product: DataFrame, dim
 
 
 def fact_sessions(sessions: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """Left point-in-time join: anonymous and pre-signup sessions keep a NULL customer_key."""
-    j = asof_window_join(sessions, _versions(dim_customer), "customer_id", "v_customer_id", "started_ts", how="left")
+    """Left point-in-time join: anonymous and pre-signup sessions keep a NULL customer_key.
+
+    Anonymous sessions (NULL customer, a third or more of all traffic) never
+    enter the join: a NULL join key would hash every one of them into the
+    same shuffle partition.  They are unioned back with a NULL version.
+    """
+    known = sessions.where(F.col("customer_id").isNotNull())
+    anonymous = sessions.where(F.col("customer_id").isNull()).withColumn("customer_key", F.lit(None).cast("long"))
+    j = asof_window_join(known, _versions(dim_customer), "customer_id", "v_customer_id", "started_ts", how="left") \
+        .select(*sessions.columns, "customer_key").unionByName(anonymous)
     return j.select(
         "session_id", C.date_key("started_ts").alias("session_date_key"), "customer_key", "started_ts", "ended_ts",
         C.duration_seconds("started_ts", "ended_ts").alias("duration_seconds"), "pages_viewed", "added_to_cart",
