@@ -158,21 +158,38 @@ def stage_all(raw: dict[str, DataFrame], strict: bool = True) -> dict[str, DataF
 REJECT_REASONS = ("missing_required", "bad_key", "superseded", "bad_value", "bad_domain", "orphan")
 
 
-def _counts(feed: str, df: DataFrame, reason_col: F.Column) -> DataFrame:
-    return df.select(F.lit(feed).alias("feed"), reason_col.alias("reason")).where(F.col("reason").isNotNull())
-
-
-def _superseded(feed: str, keyed_valid: DataFrame, keys: list[str]) -> DataFrame:
-    per_key = keyed_valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(F.sum(F.col("n") - 1).alias("n_rows")).select(
-        F.lit(feed).alias("feed"), F.lit("superseded").alias("reason"), F.col("n_rows").cast("long"))
-
-
-def _bad_value(df: DataFrame, checks: dict[str, F.Column]) -> F.Column:
-    bad = F.lit(False)
-    for raw_col, typed in checks.items():
-        bad = bad | (F.col(raw_col).isNotNull() & typed.isNull())
-    return bad
+def _flag_and_dedup(raw: DataFrame, required: list[str], keys: dict[str, object]):
+    """One pass over a raw feed: (rows failing before dedup, counted by reason;
+    dedup winners with their raw columns and ``__n`` = rows sharing the key)."""
+    req = F.lit(True)
+    for c in required:
+        req = req & F.col(c).isNotNull()
+    typed_keys = [(C.uuid_text(c, False) if t == "uuid" else F.col(c).try_cast(t)).alias(f"__k_{c}") for c, t in keys.items()]
+    raw_null = F.lit(False)
+    key_null = F.lit(False)
+    for c in keys:
+        raw_null = raw_null | F.col(c).isNull()
+        key_null = key_null | F.col(f"__k_{c}").isNull()
+    flagged = raw.select(*typed_keys, *raw.columns).withColumn(
+        "__pre", F.when(~req | raw_null, F.lit("missing_required")).when(key_null, F.lit("bad_key")))
+    pre = flagged.where(F.col("__pre").isNotNull()).groupBy(F.col("__pre").alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
+    body = [c for c in raw.columns if c != "loaded_at"]
+    winners = flagged.where(F.col("__pre").isNull()).groupBy(*[f"__k_{c}" for c in keys]).agg(
+        F.max(F.struct("loaded_at", *body)).alias("__w"), F.count(F.lit(1)).alias("__n"))
+    winners = winners.select(*[f"__k_{c}" for c in keys], "__n", *[F.col(f"__w.{c}").alias(c) for c in body])
+    return pre, winners
+
+
+def _feed_report(feed: str, pre: DataFrame, winners: DataFrame, reason: F.Column) -> DataFrame:
+    """Pre-dedup rejects plus, in one aggregate over the winners, superseded rows and per-reason counts."""
+    counts = winners.agg(
+        F.sum(F.col("__n") - 1).alias("superseded"),
+        *[F.count_if(reason == F.lit(r)).alias(r) for r in ("bad_value", "bad_domain", "orphan")],
+    )
+    stacked = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(r).alias("reason"), F.col(r).cast("long").alias("n_rows")) for r in ("superseded", "bad_value", "bad_domain", "orphan")
+    ])).alias("x")).select("x.*")
+    return pre.select("reason", F.col("n_rows").cast("long")).unionByName(stacked).select(F.lit(feed).alias("feed"), "reason", "n_rows")
 
 
 def reject_summary(raw: dict[str, DataFrame]) -> DataFrame:
@@ -181,66 +198,60 @@ def reject_summary(raw: dict[str, DataFrame]) -> DataFrame:
     Reasons, first match wins in pipeline order: missing_required (prefilter
     or NULL key), bad_key (key not castable), superseded (lost the dedup),
     bad_value (a payload value not castable), bad_domain (status/channel),
-    orphan (parent missing).  Superseded is counted as rows minus distinct keys.
+    orphan (parent missing).  Each feed is deduplicated once; the surviving
+    parents used by the orphan checks are the same DataFrames, so the plan
+    reuses their exchanges.
     """
-    stg = stage_all(raw, strict=False)
-    parts: list[DataFrame] = []
-
-    def feed_rows(feed, required, keys):
-        r = raw[feed]
-        req = F.lit(True)
-        for c in required:
-            req = req & F.col(c).isNotNull()
-        keyed = r.select(*[F.col(c).try_cast(t).alias(f"__k_{c}") if t != "uuid" else C.uuid_text(c, False).alias(f"__k_{c}")
-                           for c, t in keys.items()], *r.columns, req.alias("__req"))
-        key_null = F.lit(False)
-        raw_null = F.lit(False)
-        for c in keys:
-            key_null = key_null | F.col(f"__k_{c}").isNull()
-            raw_null = raw_null | F.col(c).isNull()
-        reason = F.when(~F.col("__req") | raw_null, F.lit("missing_required")).when(key_null, F.lit("bad_key"))
-        parts.append(_counts(feed, keyed, reason).groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rows")))
-        valid = keyed.where(F.col("__req") & ~raw_null & ~key_null)
-        parts.append(_superseded(feed, valid, [f"__k_{c}" for c in keys]))
-
-    feed_rows("customers", ["customer_id", "email"], {"customer_id": "bigint"})
-    feed_rows("products", ["product_id"], {"product_id": "bigint"})
-    feed_rows("orders", ["order_id"], {"order_id": "bigint"})
-    feed_rows("order_items", [], {"order_id": "bigint", "line_no": "int"})
-    feed_rows("sessions", [], {"session_id": "uuid"})
-
-    # Winners with a malformed payload value, or filtered by domain / parents.
-    cw = _keyed_dedup(raw["customers"].where(F.col("customer_id").isNotNull() & F.col("email").isNotNull()),
-                      {"customer_id": ("customer_id", _LONG)}, False).where(F.col("__k_customer_id").isNotNull())
-    parts.append(_counts("customers", cw, F.when(_bad_value(cw, {"signup_ts": F.col("signup_ts").try_cast(_TS)}), F.lit("bad_value")))
-                 .groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rows")))
-    pw = _keyed_dedup(raw["products"].where(F.col("product_id").isNotNull()), {"product_id": ("product_id", _LONG)}, False) \
-        .where(F.col("__k_product_id").isNotNull())
-    parts.append(_counts("products", pw, F.when(_bad_value(pw, {"unit_price": C.parse_money("unit_price", False),
-                                                                 "list_price": C.parse_money("list_price", False)}), F.lit("bad_value")))
-                 .groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rows")))
-
-    ow = _orders_typed(raw["orders"], False).where(F.col("order_id").isNotNull())
-    o_bad = F.col("customer_id").isNull() | F.col("order_ts").isNull()
-    o_reason = (F.when(o_bad, F.lit("bad_value")).when(~_in_domain(), F.lit("bad_domain"))
+    def bad(*pairs) -> F.Column:
+        """A present raw value whose typed form is NULL (the cast failed)."""
+        out = F.lit(False)
+        for raw_col, typed in pairs:
+            present = C.col_(raw_col).isNotNull()
+            out = out | (present & typed.isNull())
+        return out
+
+    reports = []
+    # customers
+    pre, cw = _flag_and_dedup(raw["customers"], ["customer_id", "email"], {"customer_id": "bigint"})
+    c_bad = bad(("signup_ts", F.col("signup_ts").try_cast(_TS)))
+    reports.append(_feed_report("customers", pre, cw, F.when(c_bad, F.lit("bad_value"))))
+    customers_ok = cw.where(~c_bad).select(F.col("__k_customer_id").alias("customer_id"))
+    # products
+    pre, pw = _flag_and_dedup(raw["products"], ["product_id"], {"product_id": "bigint"})
+    p_bad = bad(("unit_price", C.parse_money("unit_price", False)), ("list_price", C.parse_money("list_price", False)))
+    reports.append(_feed_report("products", pre, pw, F.when(p_bad, F.lit("bad_value"))))
+    products_ok = pw.where(~p_bad).select(F.col("__k_product_id").alias("product_id"))
+    # orders: domain before parent, as in staging
+    pre, ow = _flag_and_dedup(raw["orders"], ["order_id"], {"order_id": "bigint"})
+    ow = ow.withColumn("__cid", F.col("customer_id").try_cast("bigint"))
+    ow = ow.join(customers_ok.select(F.col("customer_id").alias("__cid"), F.lit(True).alias("__has_parent")), "__cid", "left")
+    o_bad = bad(("customer_id", F.col("__cid")), ("order_ts", F.col("order_ts").try_cast(_TS)),
+                (F.nullif(F.col("shipping_cost"), F.lit("")), F.nullif(F.col("shipping_cost"), F.lit("")).try_cast(S.MONEY)))
+    o_domain = F.lower(F.trim("status")).isin(*S.ORDER_STATUSES) & F.lower(F.trim("channel")).isin(*S.CHANNELS)
+    o_reason = (F.when(o_bad, F.lit("bad_value")).when(~o_domain, F.lit("bad_domain"))
                 .when(F.col("__has_parent").isNull(), F.lit("orphan")))
-    ow = ow.join(stg["customers"].select("customer_id", F.lit(True).alias("__has_parent")), "customer_id", "left")
-    parts.append(_counts("orders", ow, o_reason).groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rows")))
-
-    iw = _items_typed(raw["order_items"], False).where(F.col("order_id").isNotNull() & F.col("line_no").isNotNull())
-    i_bad = F.col("product_id").isNull() | F.col("quantity").isNull() | F.col("unit_price").isNull()
-    iw = (iw.join(stg["orders"].select("order_id", F.lit(True).alias("__o")), "order_id", "left")
-            .join(stg["products"].select("product_id", F.lit(True).alias("__p")), "product_id", "left"))
+    reports.append(_feed_report("orders", pre, ow, o_reason))
+    orders_ok = ow.where(o_reason.isNull()).select(F.col("__k_order_id").alias("order_id"))
+    # order items
+    pre, iw = _flag_and_dedup(raw["order_items"], [], {"order_id": "bigint", "line_no": "int"})
+    iw = iw.withColumn("__pid", F.col("product_id").try_cast("bigint"))
+    iw = (iw.join(orders_ok.select(F.col("order_id").alias("__k_order_id"), F.lit(True).alias("__o")), "__k_order_id", "left")
+            .join(products_ok.select(F.col("product_id").alias("__pid"), F.lit(True).alias("__p")), "__pid", "left"))
+    i_bad = bad(("product_id", F.col("__pid")), ("quantity", F.col("quantity").try_cast("int")),
+                ("unit_price", C.parse_money("unit_price", False)))
     i_reason = F.when(i_bad, F.lit("bad_value")).when(F.col("__o").isNull() | F.col("__p").isNull(), F.lit("orphan"))
-    parts.append(_counts("order_items", iw, i_reason).groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rows")))
-
-    sw = _sessions_typed(raw["sessions"], False).where(F.col("session_id").isNotNull())
-    s_bad = F.col("started_ts").isNull() | F.col("ended_ts").isNull() | F.col("pages_viewed").isNull()
-    sw = sw.join(stg["customers"].select("customer_id", F.lit(True).alias("__c")), "customer_id", "left")
-    s_reason = F.when(s_bad, F.lit("bad_value")).when(F.col("customer_id").isNotNull() & F.col("__c").isNull(), F.lit("orphan"))
-    parts.append(_counts("sessions", sw, s_reason).groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rows")))
-
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("feed", "reason").agg(F.sum("n_rows").cast("long").alias("n_rows")).where("n_rows > 0")
+    reports.append(_feed_report("order_items", pre, iw, i_reason))
+    # sessions
+    pre, sw = _flag_and_dedup(raw["sessions"], [], {"session_id": "uuid"})
+    sw = sw.withColumn("__cid", F.nullif(F.col("customer_id"), F.lit("")).try_cast("bigint"))
+    sw = sw.join(customers_ok.select(F.col("customer_id").alias("__cid"), F.lit(True).alias("__c")), "__cid", "left")
+    s_bad = bad((F.nullif(F.col("customer_id"), F.lit("")), F.col("__cid")),
+                ("started_ts", F.col("started_ts").try_cast(_TS)), ("ended_ts", F.col("ended_ts").try_cast(_TS)),
+                ("pages_viewed", F.col("pages_viewed").try_cast("int")))
+    s_reason = F.when(s_bad, F.lit("bad_value")).when(F.col("__cid").isNotNull() & F.col("__c").isNull(), F.lit("orphan"))
+    reports.append(_feed_report("sessions", pre, sw, s_reason))
+
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out.where("n_rows > 0")
