@@ -52,3 +52,31 @@ def customer_ltv(marts: dict[str, DataFrame]) -> DataFrame:
 def ltv_at_month(ltv: DataFrame, month: int = 6) -> DataFrame:
     return ltv.where(F.col("months_since_signup") == month).select(
         "cohort_month", "cohort_size", F.col("avg_cumulative_revenue_per_cohort_member").alias(f"ltv_month_{month}"))
+
+
+def customer_ltv_dense(marts: dict[str, DataFrame]) -> DataFrame:
+    """LTV curve over *all* cohort members: a member without orders in a month
+    carries its cumulative revenue forward (the reference view averages over
+    active members only).  Offsets run up to the latest month with sales.
+
+    The dense grid is (customer, offset) for offsets up to that month — at most
+    one row per customer per month, generated per customer by ``sequence``.
+    """
+    cm = customer_month_revenue(marts)
+    last = cm.agg(F.max("month").alias("__last"))
+    firsts = cm.where(F.col("months_since_signup") == 0).select("customer_key", "cohort_month")
+    grid = firsts.crossJoin(F.broadcast(last)).select(
+        "customer_key", "cohort_month",
+        F.explode(F.sequence(F.lit(0), C.month_diff("__last", "cohort_month"))).alias("months_since_signup"))
+    dense = grid.join(cm.select("customer_key", "months_since_signup", "month_revenue"),
+                      ["customer_key", "months_since_signup"], "left")
+    running = Window.partitionBy("customer_key").orderBy("months_since_signup").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = dense.withColumn("cumulative_revenue", F.sum(F.coalesce("month_revenue", F.lit(0))).over(running))
+    out = carried.groupBy("cohort_month", "months_since_signup").agg(
+        F.count(F.lit(1)).alias("cohort_size"), F.count("month_revenue").alias("active_customers"),
+        F.sum("cumulative_revenue").alias("cum_sum"))
+    return out.select(
+        "cohort_month", "months_since_signup", F.col("cohort_size").cast("long"), F.col("active_customers").cast("long"),
+        C.pct("active_customers", "cohort_size").alias("pct_active"),
+        C.avg_round("cum_sum", "cohort_size", 2).alias("avg_cumulative_revenue_per_cohort_member"),
+    )

@@ -51,6 +51,14 @@ def read_feed(spark: SparkSession, path: str, feed: str, run_ts, *, multiline: b
     return df.select(*schema.fieldNames(), load_timestamp(run_ts))
 
 
+def write_feed_csv(df: DataFrame, path: str, feed: str, mode: str = "append") -> None:
+    """Write a feed as CSV the landing reader reads back unchanged (NULL as an
+    unquoted empty field, '' as ``""``, blanks kept, quotes doubled)."""
+    (df.select(*S.RAW_COLUMNS[feed]).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+       .option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
+
+
 def land(spark: SparkSession, csv_dir: str, run_ts, *, multiline: bool = True) -> dict[str, DataFrame]:
     """Read the five feeds ``<csv_dir>/<feed>.csv``."""
     base = csv_dir.rstrip("/")

@@ -131,6 +131,7 @@ ORACLE: dict[str, str] = {
     "stg_customers": q("SELECT * FROM stg_customers_2"),
     "stg_products": q(f"SELECT product_id, sku, name, category, subcategory, {dbl('unit_price')} AS unit_price, {dbl('list_price')} AS list_price, is_active FROM stg_products"),
     "stg_orders": q(f"SELECT order_id, customer_id, order_ts, status, channel, discount_code, {dbl('shipping_cost')} AS shipping_cost FROM stg_orders"),
+    "incremental_orders_load": q(f"SELECT order_id, customer_id, order_ts, status, channel, discount_code, {dbl('shipping_cost')} AS shipping_cost FROM stg_orders"),
     "stg_order_items": q(f"SELECT order_id, line_no, product_id, quantity, {dbl('unit_price')} AS unit_price FROM stg_order_items"),
     "stg_sessions": q("SELECT * FROM stg_sessions"),
     "stg_reject_rows": None,  # filled below (needs an extra CTE)
@@ -192,6 +193,8 @@ ORACLE: dict[str, str] = {
     "daily_trend_last30": q(f"SELECT {_TREND_COLS} FROM daily_revenue_trend ORDER BY full_date DESC LIMIT 30"),
     "daily_revenue_trend_calendar": q(f"SELECT {_TREND_COLS} FROM ({_trend_from(_DENSE_DAILY)})"),
     "customer_ltv": q("SELECT * FROM customer_ltv"),
+    "customer_ltv_dense": q("SELECT * FROM ltv_dense"),
+    "cohort_retention_by_customer": q("SELECT * FROM cohort_retention_by_customer"),
     "ltv_month6": q("SELECT cohort_month, cohort_size, avg_cumulative_revenue_per_cohort_member AS ltv_month_6 FROM customer_ltv WHERE months_since_signup = 6"),
 }
 
