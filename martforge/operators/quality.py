@@ -63,14 +63,11 @@ def overlapping_pairs(dim: DataFrame, natural_key: str = "customer_id", version_
     ).select("k", "e.*")
     w = Window.partitionBy("k").orderBy("t", "ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     swept = events.select("ord", F.sum("fw").over(w).alias("run_from"), F.sum("tw").over(w).alias("run_to"))
-    s = swept.agg(
-        F.coalesce(F.sum(F.when(F.col("ord") == 0, F.col("run_from"))), F.lit(0)).alias("s1"),
-        F.coalesce(F.sum(F.when(F.col("ord") == 1, F.col("run_to"))), F.lit(0)).alias("s2"),
-    )
-    zero = dim.where(F.col(f) == F.col(t)).groupBy(k, f).agg(F.count(F.lit(1)).alias("m")) \
-        .agg(F.coalesce(F.sum(F.col("m") * F.col("m")), F.lit(0)).alias("z"))
-    proper = dim.agg(F.count_if(F.col(f) < F.col(t)).alias("p"))
-    return s.crossJoin(zero).crossJoin(proper).select((F.col("s1") - F.col("s2") + F.col("z") - F.col("p")).cast("long").alias("n_bad"))
+    # N = S1 - S2 + Z - P, summed as signed per-row contributions in one aggregate
+    s = swept.select(F.when(F.col("ord") == 0, F.col("run_from")).otherwise(-F.col("run_to")).cast("long").alias("v"))
+    zero = dim.where(F.col(f) == F.col(t)).groupBy(k, f).agg(F.count(F.lit(1)).alias("m")).select((F.col("m") * F.col("m")).cast("long").alias("v"))
+    proper = dim.where(F.col(f) < F.col(t)).select(F.lit(-1).cast("long").alias("v"))
+    return s.unionByName(zero).unionByName(proper).agg(F.coalesce(F.sum("v"), F.lit(0)).cast("long").alias("n_bad"))
 
 
 def inverted_windows(dim: DataFrame, valid_from: str = "effective_from", valid_to: str = "effective_to") -> DataFrame:

@@ -70,7 +70,9 @@ def global_row_number(df: DataFrame, order_by: Sequence[str], *, out: str = "row
     order_by = list(order_by)
     n = df.count()
     if buckets is None:
-        buckets = max(1, -(-n // rows_per_bucket))
+        # enough buckets to bound each one's size, and never fewer than the
+        # cluster's cores so the numbering always runs in parallel
+        buckets = max(-(-n // rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism)
     buckets = max(1, min(buckets, max(n, 1)))
     key = _key(order_by)
     dtypes = [f.dataType for f in df.select(*order_by).schema.fields]

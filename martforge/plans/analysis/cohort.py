@@ -63,6 +63,10 @@ def cohort_retention(marts: dict[str, DataFrame], by: str = "version") -> DataFr
 
 
 def recent_cohorts(retention: DataFrame, months_back: int = 6) -> DataFrame:
-    """Cohorts from (latest cohort - 6 months) on; the latest is a one-row aggregate."""
-    latest = retention.agg(F.max("cohort_month").alias("__latest"))
-    return retention.crossJoin(F.broadcast(latest)).where(F.col("cohort_month") >= F.add_months("__latest", -months_back)).drop("__latest")
+    """Cohorts from (latest cohort - 6 months) on.
+
+    The latest cohort is a window maximum over the retention grid, which has
+    at most one row per (cohort month, offset): small by construction.
+    """
+    latest = F.max("cohort_month").over(Window.partitionBy(F.lit(1)))
+    return retention.withColumn("__latest", latest).where(F.col("cohort_month") >= F.add_months("__latest", -months_back)).drop("__latest")

@@ -63,11 +63,15 @@ def customer_ltv_dense(marts: dict[str, DataFrame]) -> DataFrame:
     one row per customer per month, generated per customer by ``sequence``.
     """
     cm = customer_month_revenue(marts)
-    last = cm.agg(F.max("month").alias("__last"))
+    last = dated_revenue_facts(marts["fact_orders"], marts["dim_date"], []).agg(F.max("full_date").alias("d")).first()["d"]
+    if last is None:
+        return customer_ltv(marts).select("cohort_month", "months_since_signup", "cohort_size", "active_customers",
+                                          "pct_active", "avg_cumulative_revenue_per_cohort_member")
+    horizon = C.month_start(F.lit(last.isoformat()).cast("date"))
     firsts = cm.where(F.col("months_since_signup") == 0).select("customer_key", "cohort_month")
-    grid = firsts.crossJoin(F.broadcast(last)).select(
+    grid = firsts.select(
         "customer_key", "cohort_month",
-        F.explode(F.sequence(F.lit(0), C.month_diff("__last", "cohort_month"))).alias("months_since_signup"))
+        F.explode(F.sequence(F.lit(0), C.month_diff(horizon, "cohort_month"))).alias("months_since_signup"))
     dense = grid.join(cm.select("customer_key", "months_since_signup", "month_revenue"),
                       ["customer_key", "months_since_signup"], "left")
     running = Window.partitionBy("customer_key").orderBy("months_since_signup").rowsBetween(Window.unboundedPreceding, Window.currentRow)

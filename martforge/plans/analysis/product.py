@@ -46,8 +46,20 @@ def product_performance_q(marts: dict[str, DataFrame]) -> DataFrame:
     return base.withColumn("qoq_growth_pct", C.growth_pct("net_revenue", "prev_quarter_revenue"))
 
 
-def top_products_latest_quarter(perf: DataFrame, k: int = 3) -> DataFrame:
-    """Rank <= k per category in the latest (year, quarter) present; dense rank, so ties may add rows."""
-    yq = F.col("year").cast("int") * 10 + F.col("quarter").cast("int")
-    latest = perf.agg(F.max(yq).alias("__yq"))
-    return perf.crossJoin(F.broadcast(latest)).where((yq == F.col("__yq")) & (F.col("rank_in_category") <= k)).drop("__yq")
+def latest_quarter(marts: dict[str, DataFrame]) -> tuple[int, int] | None:
+    """(year, quarter) of the latest placed/fulfilled sale: one scalar job."""
+    f = dated_revenue_facts(marts["fact_orders"], marts["dim_date"], [])
+    row = f.agg(F.max(F.col("year").cast("int") * 10 + F.col("quarter").cast("int")).alias("yq")).first()
+    return None if row is None or row["yq"] is None else divmod(row["yq"], 10)
+
+
+def top_products_latest_quarter(perf: DataFrame, latest: tuple[int, int] | None, k: int = 3) -> DataFrame:
+    """Rank <= k per category in the latest (year, quarter); dense rank, so ties may add rows.
+
+    The quarter is a literal, so the filter on the window's partition columns
+    is pushed below the ranking windows: only the latest quarter is ranked.
+    """
+    if latest is None:
+        return perf.where(F.lit(False))
+    y, q = latest
+    return perf.where((F.col("year") == y) & (F.col("quarter") == q) & (F.col("rank_in_category") <= k))

@@ -65,9 +65,9 @@ def last_days(trend: DataFrame, n: int = 30) -> DataFrame:
 def daily_revenue_trend_calendar(marts: dict[str, DataFrame]) -> DataFrame:
     """Calendar-true variant: every day between the first and last sale, zero when no sales."""
     daily = daily_revenue(marts)
-    span = daily.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"))
-    days = marts["dim_date"].select("full_date").join(F.broadcast(span), (F.col("full_date") >= F.col("lo")) & (F.col("full_date") <= F.col("hi"))) \
-        .select("full_date")
+    # every day from the first to the last sale (one row per calendar day)
+    days = daily.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi")) \
+        .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
     dense = days.join(daily, "full_date", "left").select(
         "full_date",
         F.coalesce("net_revenue", F.lit(0).cast("decimal(18,2)")).alias("net_revenue"),

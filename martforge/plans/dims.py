@@ -53,21 +53,14 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def date_bounds(customers: DataFrame, orders: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
     """One row (lo, hi): earliest signup/order(/session) day to the latest + 30 days.
 
-    Independent one-row aggregates joined together — never the cartesian
-    product of the source tables.  Session days are included so every
-    session's date key exists in the calendar.
+    A single aggregate over the union of the date columns (partial min/max per
+    task, one tiny merge) — never the cartesian product of the source tables.
+    Session days are included so every session's date key exists in the calendar.
     """
-    def rng(df, c):
-        return df.agg(F.min(F.to_date(c)).alias("lo"), F.max(F.to_date(c)).alias("hi"))
-    parts = [rng(customers, "signup_ts"), rng(orders, "order_ts")]
+    days = customers.select(F.to_date("signup_ts").alias("d")).unionByName(orders.select(F.to_date("order_ts").alias("d")))
     if sessions is not None:
-        parts.append(rng(sessions, "started_ts"))
-    out = parts[0].select(F.col("lo").alias("lo0"), F.col("hi").alias("hi0"))
-    for i, p in enumerate(parts[1:], start=1):
-        out = out.crossJoin(p.select(F.col("lo").alias(f"lo{i}"), F.col("hi").alias(f"hi{i}")))
-    n = len(parts)
-    return out.select(F.least(*[F.col(f"lo{i}") for i in range(n)]).alias("lo"),
-                      F.date_add(F.greatest(*[F.col(f"hi{i}") for i in range(n)]), CALENDAR_TAIL_DAYS).alias("hi"))
+        days = days.unionByName(sessions.select(F.to_date("started_ts").alias("d")))
+    return days.agg(F.min("d").alias("lo"), F.date_add(F.max("d"), CALENDAR_TAIL_DAYS).alias("hi"))
 
 
 def calendar(bounds: DataFrame, check_span: bool = True) -> DataFrame:

@@ -385,7 +385,8 @@ def product_performance_q(spark, sf):
 
 @query
 def top3_products_latest_q(spark, sf):
-    return product.top_products_latest_quarter(product.product_performance_q(_marts(spark, sf))).drop("product_key")
+    m = _marts(spark, sf)
+    return product.top_products_latest_quarter(product.product_performance_q(m), product.latest_quarter(m)).drop("product_key")
 
 
 @query
