@@ -25,6 +25,7 @@ number of buckets, never by the data.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -59,52 +60,78 @@ def _bucket_expr(key: Column, boundaries: list[Column]) -> Column:
     return search(0, len(boundaries))
 
 
-def global_row_number(df: DataFrame, order_by: Sequence[str], *, out: str = "row_number", buckets: int | None = None,
-                      rows_per_bucket: int = ROWS_PER_BUCKET, samples_per_bucket: int = 64, seed: int = 17) -> tuple[DataFrame, int]:
-    """``row_number() OVER (ORDER BY order_by)`` computed over range buckets.
+def _sort_key(values) -> tuple:
+    """Python ordering that matches Spark's ascending order: NULL first, NaN last."""
+    out = []
+    for v in values:
+        if v is None:
+            out.append((0, 0, 0))
+        elif isinstance(v, float) and math.isnan(v):
+            out.append((1, 1, 0))
+        else:
+            out.append((1, 0, v))
+    return tuple(out)
 
-    ``order_by`` must make rows unique (append natural-key tie-breakers).
-    Returns the numbered frame and the total row count n.
-    Triggers small jobs: one count, one bounded sample, one per-bucket count.
+
+def global_row_numbers(df: DataFrame, orderings: dict[str, Sequence[str]], *, buckets: int | None = None,
+                       rows_per_bucket: int = ROWS_PER_BUCKET, samples_per_bucket: int = 64, seed: int = 17) -> tuple[DataFrame, int]:
+    """``row_number() OVER (ORDER BY ...)`` for several orderings at once, over range buckets.
+
+    ``orderings`` maps an output column to its order columns, which must make
+    rows unique (append natural-key tie-breakers).  Small jobs, whatever the
+    number of orderings: one count, one bounded sample (boundaries for every
+    ordering are cut from it), one per-bucket count.  Returns (frame, n).
     """
-    order_by = list(order_by)
+    orderings = {k: list(v) for k, v in orderings.items()}
     n = df.count()
     if buckets is None:
         # enough buckets to bound each one's size, and never fewer than the
         # cluster's cores so the numbering always runs in parallel
         buckets = max(-(-n // rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism)
     buckets = max(1, min(buckets, max(n, 1)))
-    key = _key(order_by)
-    dtypes = [f.dataType for f in df.select(*order_by).schema.fields]
+    cols = list(dict.fromkeys(c for order in orderings.values() for c in order))
+    dtypes = {f.name: f.dataType for f in df.select(*cols).schema.fields}
 
-    boundaries: list[Column] = []
+    sample = []
     if buckets > 1:
-        want = buckets * samples_per_bucket
-        fraction = min(1.0, want / max(n, 1))
-        sample = (df.select(*order_by).sample(withReplacement=False, fraction=fraction, seed=seed)
-                  .orderBy(*order_by).collect())
-        if len(sample) >= buckets:
-            step = len(sample) / buckets
-            picks = [sample[int(round(step * i))] for i in range(1, buckets)]
-            # drop repeated boundaries (possible only if the sample repeats a key)
-            uniq = []
-            for p in picks:
-                if not uniq or tuple(p) != tuple(uniq[-1]):
-                    uniq.append(p)
-            boundaries = [_literal_key(list(p), dtypes) for p in uniq]
-    nb = len(boundaries) + 1
-
-    with_bucket = df.withColumn("__bucket", _bucket_expr(key, boundaries) if boundaries else F.lit(0))
-    counts = {r["__bucket"]: r["n"] for r in with_bucket.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, acc = {}, 0
-    for b in range(nb):
-        offsets[b] = acc
-        acc += counts.get(b, 0)
-    offset_map = F.create_map(*[x for b in range(nb) for x in (F.lit(b), F.lit(offsets[b]).cast("long"))])
-
-    w = Window.partitionBy("__bucket").orderBy(*[F.col(c).asc() for c in order_by])
-    numbered = with_bucket.withColumn(out, (F.row_number().over(w) + F.element_at(offset_map, F.col("__bucket"))).cast("long"))
-    return numbered.drop("__bucket"), n
+        fraction = min(1.0, buckets * samples_per_bucket / max(n, 1))
+        sample = df.select(*cols).sample(withReplacement=False, fraction=fraction, seed=seed).collect()
+    out = df
+    bucket_cols = {}
+    for name, order in orderings.items():
+        boundaries: list[Column] = []
+        if len(sample) >= buckets > 1:
+            keys = sorted((tuple(r[c] for c in order) for r in sample), key=_sort_key)
+            step = len(keys) / buckets
+            picks = [keys[int(round(step * i))] for i in range(1, buckets)]
+            uniq = [p for j, p in enumerate(picks) if j == 0 or p != picks[j - 1]]
+            boundaries = [_literal_key(list(p), [dtypes[c] for c in order]) for p in uniq]
+        bcol = f"__bucket_{name}"
+        out = out.withColumn(bcol, _bucket_expr(_key(order), boundaries) if boundaries else F.lit(0))
+        bucket_cols[name] = bcol
+
+    stacked = out.select(F.explode(F.array(*[F.struct(F.lit(name).alias("o"), F.col(b).alias("b"))
+                                              for name, b in bucket_cols.items()])).alias("x"))
+    counts: dict[str, dict[int, int]] = {name: {} for name in orderings}
+    for r in stacked.groupBy("x.o", "x.b").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r["o"]][r["b"]] = r["n"]
+
+    for name, order in orderings.items():
+        per = counts[name]
+        offsets, acc = [], 0
+        for b in range(max(per, default=0) + 1):
+            offsets.append(acc)
+            acc += per.get(b, 0)
+        offset_map = F.create_map(*[x for b, off in enumerate(offsets) for x in (F.lit(b), F.lit(off).cast("long"))])
+        bcol = bucket_cols[name]
+        w = Window.partitionBy(bcol).orderBy(*[F.col(c).asc() for c in order])
+        out = out.withColumn(name, (F.row_number().over(w) + F.element_at(offset_map, F.col(bcol))).cast("long"))
+    return out.drop(*bucket_cols.values()), n
+
+
+def global_row_number(df: DataFrame, order_by: Sequence[str], *, out: str = "row_number", **kw) -> tuple[DataFrame, int]:
+    """``row_number() OVER (ORDER BY order_by)`` computed over range buckets (see ``global_row_numbers``)."""
+    return global_row_numbers(df, {out: order_by}, **kw)
 
 
 def ntile_of(row_number: Column, n: int, k: int) -> Column:
@@ -120,5 +147,13 @@ def ntile_of(row_number: Column, n: int, k: int) -> Column:
 
 def ntile_distributed(df: DataFrame, k: int, order_by: Sequence[str], *, out: str = "ntile", **kw) -> DataFrame:
     """``ntile(k) OVER (ORDER BY order_by)`` without a single-partition window."""
-    numbered, n = global_row_number(df, order_by, out="__rn", **kw)
-    return numbered.withColumn(out, ntile_of(F.col("__rn"), n, k)).drop("__rn")
+    return ntiles_distributed(df, k, {out: order_by}, **kw)
+
+
+def ntiles_distributed(df: DataFrame, k: int, orderings: dict[str, Sequence[str]], **kw) -> DataFrame:
+    """Several ``ntile(k)`` columns, one per ordering, sharing the setup jobs."""
+    tmp = {f"__rn_{name}": order for name, order in orderings.items()}
+    numbered, n = global_row_numbers(df, tmp, **kw)
+    for name in orderings:
+        numbered = numbered.withColumn(name, ntile_of(F.col(f"__rn_{name}"), n, k))
+    return numbered.drop(*tmp)

@@ -161,3 +161,15 @@ def test_optional_reference_filter(spark):
     parents = spark.createDataFrame([(1,)], "customer_id long")
     child = spark.createDataFrame([("s1", None), ("s2", 1), ("s3", 2)], "sid string, customer_id long")
     assert rows(optional_reference_filter(child, parents, "customer_id"), "sid") == [("s1",), ("s2",)]
+
+
+def test_ntiles_distributed_several_orderings(spark):
+    from martforge.operators.ranking import ntiles_distributed
+    rnd = random.Random(5)
+    data = [(rnd.randint(0, 4), rnd.choice([None, 1.5, 2.5, float("nan")]), rnd.randint(0, 9), i) for i in range(250)]
+    df = spark.createDataFrame(data, "a int, b double, c int, id int")
+    ours = ntiles_distributed(df, 5, {"ta": ["a", "id"], "tb": ["b", "id"], "tc": ["c", "id"]}, buckets=6, samples_per_bucket=10)
+    ref = (df.withColumn("ta", F.ntile(5).over(Window.orderBy("a", "id")))
+             .withColumn("tb", F.ntile(5).over(Window.orderBy("b", "id")))
+             .withColumn("tc", F.ntile(5).over(Window.orderBy("c", "id"))))
+    assert rows(ours, "id", "ta", "tb", "tc") == rows(ref, "id", "ta", "tb", "tc")
