@@ -94,3 +94,54 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     out = df.collect()
     assert len(out) > 0 and set(df.columns) >= {"segment", "customers", "pct_of_revenue"}
+
+
+def test_register_and_export_views(spark):
+    import tempfile
+    from martforge.plans.analysis.views import export_views, register_views
+    from martforge.sources.store import TableStore
+    marts = {"fact_sessions": spark.createDataFrame([(True, False, False, "google"), (True, True, True, None)],
+                                                    "added_to_cart boolean, reached_checkout boolean, purchased boolean, utm_source string")}
+    register_views(marts, ["funnel_overall", "funnel_by_source"])
+    assert spark.sql("SELECT visited, carted FROM funnel_overall").first() == (2, 2)
+    assert {r[0] for r in spark.sql("SELECT utm_source FROM funnel_by_source").collect()} == {"google", "(none)"}
+    store = TableStore(spark, tempfile.mkdtemp(prefix="martforge-views-"))
+    export_views(marts, store, ["funnel_overall"])
+    assert store.read("analysis.funnel_overall").first()["purchased"] == 1
+
+
+def test_failed_gate_keeps_previous_version(spark):
+    import tempfile
+    from martforge.sources.store import TableStore
+    store = TableStore(spark, tempfile.mkdtemp(prefix="martforge-store-"))
+    good = spark.createDataFrame([(1,)], "x int")
+    store.refresh("t", good)
+    v1 = store.current_version("t")
+
+    def gate(df):
+        if df.where("x < 0").count():
+            raise ValueError("gate failed")
+    with pytest.raises(ValueError):
+        store.refresh("t", spark.createDataFrame([(-1,)], "x int"), gate=gate)
+    assert store.current_version("t") == v1 and store.read("t").first()["x"] == 1
+    store.refresh("t", spark.createDataFrame([(2,)], "x int"), gate=gate)
+    assert store.read("t").first()["x"] == 2
+
+
+def test_late_order_attaches_to_version_valid_at_order_time(spark):
+    """A late-arriving order dated before a customer's move joins the old version on the next full refresh."""
+    from martforge.plans import facts
+    sig = dt.datetime(2020, 1, 1)
+    move = dt.datetime(2021, 1, 1)
+    dim_c = spark.createDataFrame([(10, 1, sig, move), (11, 1, move, dt.datetime(9999, 12, 31))],
+                                  "customer_key long, customer_id long, effective_from timestamp_ntz, effective_to timestamp_ntz")
+    orders = spark.createDataFrame([(100, 1, dt.datetime(2021, 6, 1), "placed", "web", None, Decimal("0.00")),
+                                    (101, 1, dt.datetime(2020, 6, 1), "placed", "web", "X", Decimal("0.00"))],   # arrived late
+                                   "order_id long, customer_id long, order_ts timestamp_ntz, status string, channel string, "
+                                   "discount_code string, shipping_cost decimal(10,2)")
+    items = spark.createDataFrame([(100, 1, 5, 2, Decimal("10.00")), (101, 1, 5, 1, Decimal("10.05"))],
+                                  "order_id long, line_no int, product_id long, quantity int, unit_price decimal(10,2)")
+    prod = spark.createDataFrame([(5, 50)], "product_id long, product_key long")
+    got = {r["order_id"]: r for r in facts.fact_orders(orders, items, prod, dim_c).collect()}
+    assert got[100]["customer_key"] == 11 and got[101]["customer_key"] == 10
+    assert got[101]["discount_amount"] == Decimal("1.01") and got[101]["net_revenue"] == Decimal("9.04")   # 1.005 rounds up
