@@ -85,6 +85,18 @@ def incremental_orders_load(spark, sf):
     return staging.stage_orders(latest, _stg(spark, sf, "customers"))
 
 
+@query
+def streaming_daily_funnel(spark, sf):
+    """Daily funnel over sessions built by a Structured Streaming run over the event files."""
+    from martforge.streaming.funnel import daily_funnel, run_session_stream
+    store = TableStore(spark)
+    base = f"{store.root}/stream-sessions/{spark.sparkContext.applicationId}-{abs(hash(sf))}"
+    # a glob, so the stream source watches the folder for event files
+    sessions = run_session_stream(spark, f"{sf.rstrip('/')}/event[s].parquet", f"stream-sessions-{abs(hash(base))}",
+                                  f"{base}/checkpoint", store)
+    return daily_funnel(sessions)
+
+
 @query
 def sink_full_refresh_idempotent(spark, sf):
     """fact_orders refreshed twice through the versioned store; the published version is read."""

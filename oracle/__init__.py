@@ -125,6 +125,10 @@ ORACLE: dict[str, str] = {
                                   for t in S.FEEDS])),
     "src_csv_landing": q("SELECT order_id, customer_id, order_ts, status, channel, discount_code, shipping_cost, loaded_at FROM raw_orders"),
     "sink_full_refresh_idempotent": q(_FACT_ORDERS),
+    "streaming_daily_funnel": q(f"SELECT day, visited, carted, checked_out, purchased, {pct_int('carted', 'visited')} AS pct_browse_to_cart, "
+                                f"{pct_int('purchased', 'visited')} AS pct_visit_to_purchase FROM (SELECT day, count(*) AS visited, "
+                                f"count(*) FILTER (WHERE cart) AS carted, count(*) FILTER (WHERE cart AND su) AS checked_out, "
+                                f"count(*) FILTER (WHERE cart AND su AND pu) AS purchased FROM ev_sessions GROUP BY day)"),
     "sink_insert_if_absent": q("SELECT country, region, city FROM dim_geography"),
     "dedup_latest": q("SELECT CAST(order_id AS BIGINT) AS order_id, CAST(line_no AS INTEGER) AS line_no, product_id, quantity, unit_price, loaded_at "
                       f"FROM {_latest('raw_order_items', 'CAST(order_id AS BIGINT), CAST(line_no AS INTEGER)', ITEM_COLS)}"),
