@@ -53,9 +53,15 @@ def _with_geography(df: DataFrame, spark, sf) -> DataFrame:
 
 
 # --- sources / sinks -------------------------------------------------------------
+def _raw(spark, sf, run: int = 1) -> dict[str, DataFrame]:
+    """The landed raw feeds of a fixture load (written once by the warehouse build)."""
+    w = warehouse(spark, sf)
+    return {feed: w[f"run{run}.raw.{feed}"] for feed in S.FEEDS}
+
+
 @query
 def raw_load_summary(spark, sf):
-    return landing.raw_load_summary(fixtures.raw_feeds(spark, sf, snapshot=1))
+    return landing.raw_load_summary(_raw(spark, sf))
 
 
 @query
@@ -117,7 +123,7 @@ def sink_insert_if_absent(spark, sf):
 # --- staging ---------------------------------------------------------------------
 @query
 def dedup_latest_items(spark, sf):
-    raw = fixtures.raw_order_items(spark, sf)
+    raw = _raw(spark, sf)["order_items"]
     keyed = raw.select(F.col("order_id").cast("bigint").alias("k_order_id"), F.col("line_no").cast("int").alias("k_line_no"), *raw.columns)
     out = dedup_latest(keyed, ["k_order_id", "k_line_no"], ["loaded_at"], tiebreak=list(S.RAW_COLUMNS["order_items"]))
     return out.select(F.col("k_order_id").alias("order_id"), F.col("k_line_no").alias("line_no"),
@@ -155,7 +161,7 @@ def stg_sessions(spark, sf):
 
 @query
 def stg_reject_rows(spark, sf):
-    return staging.reject_summary(fixtures.raw_feeds(spark, sf, snapshot=1))
+    return staging.reject_summary(_raw(spark, sf))
 
 
 @query

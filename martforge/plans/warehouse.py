@@ -118,16 +118,29 @@ def build_from_feeds(spark: SparkSession, runs: list[tuple[dict[str, DataFrame],
     return w
 
 
-def fixture_runs(spark: SparkSession, sf_dir: str) -> list[tuple[dict[str, DataFrame], str]]:
-    return [
-        (fixtures.raw_feeds(spark, sf_dir, snapshot=1), fixtures.RUN_TS_1),
-        (fixtures.raw_feeds(spark, sf_dir, snapshot=2), fixtures.RUN_TS_2),
-    ]
+def fixture_runs(spark: SparkSession, sf_dir: str, store: TableStore | None = None) -> list[tuple[dict[str, DataFrame], str]]:
+    """The two loads of the fixture, landed: the raw feeds are written once as
+    the raw layer (all text + load time) and every later step reads them.
+    The second load differs from the first only in its customer snapshot."""
+    store = store or TableStore(spark)
+    first = fixtures.raw_feeds(spark, sf_dir, snapshot=1)
+    jobs = {name: (lambda n=name, df=df: store.materialize(f"raw.{n}", df)) for name, df in first.items()}
+    jobs["customers_2"] = lambda: store.materialize("raw.customers_2", fixtures.raw_customers(spark, sf_dir, snapshot=2))
+    landed = _concurrently(jobs)
+    run1 = {name: landed[name] for name in first}
+    run2 = {**run1, "customers": landed["customers_2"]}
+    return [(run1, fixtures.RUN_TS_1), (run2, fixtures.RUN_TS_2)]
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The fixture warehouse for ``sf_dir``, built once per Spark application."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _BUILT:
-        _BUILT[key] = build_from_feeds(spark, fixture_runs(spark, sf_dir))
+        store = TableStore(spark)
+        runs = fixture_runs(spark, sf_dir, store)
+        w = build_from_feeds(spark, runs, store)
+        for i, (raw, _) in enumerate(runs, start=1):
+            for name, df in raw.items():
+                w.tables[f"run{i}.raw.{name}"] = df
+        _BUILT[key] = w
     return _BUILT[key]
