@@ -88,10 +88,6 @@ def _orders_typed(raw: DataFrame, strict: bool, customers: DataFrame | None = No
     )
 
 
-def _in_domain() -> F.Column:
-    return F.col("status").isin(*S.ORDER_STATUSES) & F.col("channel").isin(*S.CHANNELS)
-
-
 def stage_orders(raw: DataFrame, customers: DataFrame, strict: bool = True) -> DataFrame:
     return _orders_typed(raw, strict, customers)
 
