@@ -341,7 +341,9 @@ def cohort_retention(spark, sf):
 
 @query
 def cohort_retention_recent(spark, sf):
-    return cohort.recent_cohorts(cohort.cohort_retention(_marts(spark, sf)))
+    # report order (presentation only): cohort, then offset
+    return cohort.recent_cohorts(cohort.cohort_retention(_marts(spark, sf))) \
+        .orderBy(F.col("cohort_month").asc_nulls_last(), F.col("months_since_signup").asc_nulls_last())
 
 
 _RFM: dict = {}
@@ -373,7 +375,9 @@ def rfm_segments(spark, sf):
 
 @query
 def rfm_segment_summary(spark, sf):
-    return rfm.segment_summary(rfm.rfm_segments(_marts(spark, sf), _rfm_scores(spark, sf)))
+    # report order: largest revenue first (DESC puts NULLs first, as the database does)
+    return rfm.segment_summary(rfm.rfm_segments(_marts(spark, sf), _rfm_scores(spark, sf))) \
+        .orderBy(F.col("total_revenue").desc_nulls_first())
 
 
 @query
@@ -404,7 +408,9 @@ def product_performance_q(spark, sf):
 @query
 def top3_products_latest_q(spark, sf):
     m = _marts(spark, sf)
-    return product.top_products_latest_quarter(product.product_performance_q(m), product.latest_quarter(m)).drop("product_key")
+    # report order: category (NULL category last), then rank
+    return product.top_products_latest_quarter(product.product_performance_q(m), product.latest_quarter(m)).drop("product_key") \
+        .orderBy(F.col("category").asc_nulls_last(), F.col("rank_in_category").asc_nulls_last())
 
 
 @query
@@ -445,7 +451,7 @@ def cohort_retention_by_customer(spark, sf):
 
 @query
 def ltv_month6(spark, sf):
-    return ltv.ltv_at_month(ltv.customer_ltv(_marts(spark, sf)))
+    return ltv.ltv_at_month(ltv.customer_ltv(_marts(spark, sf))).orderBy(F.col("cohort_month").asc_nulls_last())
 
 
 # Keys whose natural name is taken by the operator imported above.
