@@ -6,6 +6,7 @@ instead of hash surrogates, so an independent SQL engine can reproduce them.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -347,13 +348,16 @@ def cohort_retention_recent(spark, sf):
 
 
 _RFM: dict = {}
+_RFM_LOCK = threading.Lock()
 
 
 def _rfm_scores(spark, sf):
+    """Scores are computed once per application (their input is checkpointed)."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _RFM:
-        _RFM[key] = rfm.rfm_scores(_marts(spark, sf))
-    return _RFM[key]
+    with _RFM_LOCK:
+        if key not in _RFM:
+            _RFM[key] = rfm.rfm_scores(_marts(spark, sf))
+        return _RFM[key]
 
 
 @query

@@ -15,6 +15,7 @@ jobs do not leave executors idle while they wait for each other.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -42,6 +43,7 @@ class Warehouse:
 
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}
+_BUILD_LOCK = threading.Lock()
 
 
 def _concurrently(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -140,7 +142,9 @@ def fixture_runs(spark: SparkSession, sf_dir: str, store: TableStore | None = No
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The fixture warehouse for ``sf_dir``, built once per Spark application."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _BUILT:
+    with _BUILD_LOCK:   # concurrent callers share one build
+        if key in _BUILT:
+            return _BUILT[key]
         store = TableStore(spark)
         runs = fixture_runs(spark, sf_dir, store)
         w = build_from_feeds(spark, runs, store)
@@ -148,4 +152,4 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             for name, df in raw.items():
                 w.tables[f"run{i}.raw.{name}"] = df
         _BUILT[key] = w
-    return _BUILT[key]
+        return w
