@@ -45,11 +45,14 @@ class TableStore:
             return None
         return row[0] if row else None
 
-    def read(self, name: str, version: str | None = None) -> DataFrame:
+    def read(self, name: str, version: str | None = None, schema=None) -> DataFrame:
+        """Read a version (default: the published one).  A known ``schema``
+        skips the footer-reading job that schema inference would start."""
         version = version or self.current_version(name)
         if version is None:
             raise KeyError(f"table {name} has no published version")
-        return self.spark.read.parquet(f"{self.root}/{name}/v={version}")
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        return reader.parquet(f"{self.root}/{name}/v={version}")
 
     def refresh(self, name: str, df: DataFrame, partition_by: list[str] | None = None, gate=None) -> DataFrame:
         """Full refresh: write a new version, run ``gate(new_df)`` (may raise), then publish."""
@@ -66,4 +69,4 @@ class TableStore:
         Nothing is published (no pointer move); use ``refresh`` for that.
         """
         version = self.write_version(name, df, partition_by)
-        return self.read(name, version)
+        return self.read(name, version, schema=None if partition_by else df.schema)
