@@ -15,12 +15,16 @@ jobs do not leave executors idle while they wait for each other.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import os
 import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from martforge.operators.quality import dq_enforce, dq_report
 from martforge.plans import dims, facts, staging
@@ -139,17 +143,74 @@ def fixture_runs(spark: SparkSession, sf_dir: str, store: TableStore | None = No
     return [(run1, fixtures.RUN_TS_1), (run2, fixtures.RUN_TS_2)]
 
 
+def _build_id(sf_dir: str) -> str | None:
+    """Identity of a build: the library's code and the input files (size, mtime).
+
+    None when the inputs cannot be fingerprinted (not a local path); such builds
+    are not reused across processes.
+    """
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for root, _, files in sorted(os.walk(pkg)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(root, f), "rb") as fh:
+                    h.update(fh.read())
+    for t in fixtures.INPUT_TABLES:
+        path = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        if not os.path.exists(path):
+            return None
+        st = os.stat(path)
+        h.update(f"{t}:{st.st_size}:{st.st_mtime_ns}".encode())
+    return h.hexdigest()[:20]
+
+
+def _save_manifest(spark: SparkSession, store: TableStore, build_id: str, w: Warehouse) -> None:
+    """Record where every table of a finished build lives (written last: a partial build has none)."""
+    entries = []
+    for name, df in w.tables.items():
+        files = df.inputFiles()
+        location = os.path.dirname(files[0]) if files else ""
+        entries.append((name, location, df.schema.json()))
+    spark.createDataFrame(entries, "name string, location string, schema string").coalesce(1) \
+        .write.mode("overwrite").json(f"{store.root}/builds/{build_id}")
+
+
+def _load_manifest(spark: SparkSession, store: TableStore, build_id: str) -> Warehouse | None:
+    try:
+        entries = spark.read.schema("name string, location string, schema string").json(f"{store.root}/builds/{build_id}").collect()
+    except Exception:  # no manifest yet
+        return None
+    if not entries:
+        return None
+    w = Warehouse()
+    for e in entries:
+        schema = T.StructType.fromJson(json.loads(e["schema"]))
+        w.tables[e["name"]] = spark.read.schema(schema).parquet(e["location"]) if e["location"] else spark.createDataFrame([], schema)
+    return w
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The fixture warehouse for ``sf_dir``, built once per Spark application."""
+    """The fixture warehouse for ``sf_dir``: built once, then reused.
+
+    Within a Spark application the build is memoised; across processes a
+    finished build with the same code and inputs is read back from its
+    manifest in the shared store.
+    """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _BUILD_LOCK:   # concurrent callers share one build
         if key in _BUILT:
             return _BUILT[key]
         store = TableStore(spark)
-        runs = fixture_runs(spark, sf_dir, store)
-        w = build_from_feeds(spark, runs, store)
-        for i, (raw, _) in enumerate(runs, start=1):
-            for name, df in raw.items():
-                w.tables[f"run{i}.raw.{name}"] = df
+        build_id = _build_id(sf_dir)
+        w = _load_manifest(spark, store, build_id) if build_id else None
+        if w is None:
+            runs = fixture_runs(spark, sf_dir, store)
+            w = build_from_feeds(spark, runs, store)
+            for i, (raw, _) in enumerate(runs, start=1):
+                for name, df in raw.items():
+                    w.tables[f"run{i}.raw.{name}"] = df
+            if build_id:
+                _save_manifest(spark, store, build_id, w)
         _BUILT[key] = w
         return w
