@@ -190,12 +190,13 @@ def _load_manifest(spark: SparkSession, store: TableStore, build_id: str) -> War
     return w
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str, reuse_saved: bool = True) -> Warehouse:
     """The fixture warehouse for ``sf_dir``: built once, then reused.
 
     Within a Spark application the build is memoised; across processes a
     finished build with the same code and inputs is read back from its
-    manifest in the shared store.
+    manifest in the shared store (``reuse_saved=False`` always builds, as the
+    benchmark does).
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _BUILD_LOCK:   # concurrent callers share one build
@@ -203,7 +204,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             return _BUILT[key]
         store = TableStore(spark)
         build_id = _build_id(sf_dir)
-        w = _load_manifest(spark, store, build_id) if build_id else None
+        w = _load_manifest(spark, store, build_id) if (build_id and reuse_saved) else None
         if w is None:
             runs = fixture_runs(spark, sf_dir, store)
             w = build_from_feeds(spark, runs, store)
