@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from martforge.plans import dims
 from martforge.plans.analysis import funnel, product, rfm, timeseries
-from tests.conftest import rows
 
 
 def test_segment_matrix_all_125_cells(spark):

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from martforge.operators.dedup import dedup_latest
 from martforge.operators.joins import asof_window_join, optional_reference_filter
 from martforge.operators.ranking import global_row_number, ntile_distributed, ntile_of
-from martforge.operators.scd2 import scd2_apply
 from martforge.operators.sinks import insert_if_absent, upsert
 from martforge.plans import dims
 from martforge.operators import quality

@@ -134,7 +134,6 @@ def test_csv_landing_rejects_wrong_field_count(spark):
 
 
 def test_incremental_load_equals_full_reload(spark):
-    from martforge.operators.dedup import dedup_latest
     from martforge.sources.store import TableStore
     from martforge.streaming.incremental import run_incremental_load
     base = tempfile.mkdtemp(prefix="martforge-inc-")
