@@ -157,3 +157,60 @@ def ntiles_distributed(df: DataFrame, k: int, orderings: dict[str, Sequence[str]
     for name in orderings:
         numbered = numbered.withColumn(name, ntile_of(F.col(f"__rn_{name}"), n, k))
     return numbered.drop(*tmp)
+
+
+def group_ranks(df: DataFrame, groups: Sequence[str], value: str, row_id: Sequence[str], *,
+                max_window_rows: int = ROWS_PER_BUCKET, largest_group: int | None = None,
+                force_distributed: bool = False, **kw) -> DataFrame:
+    """Per-group ranking columns without a window partition per group.
+
+    Adds ``rank_asc`` (= ``rank() OVER (PARTITION BY groups ORDER BY value)``),
+    ``dense_rank_desc`` (= ``dense_rank() ... ORDER BY value DESC``), ``group_rows``
+    and ``group_total`` (sum of value).  ``value`` must be non-NULL.
+
+    When the largest group holds at most ``max_window_rows`` rows, plain
+    windows are used; ``largest_group`` may supply a known upper bound (else
+    one aggregate job measures it).  Beyond that — a group too
+    big for one task — everything is computed from global row numbers over
+    range buckets: a row's rank is the first position of its value minus the
+    first position of its group, and the dense rank comes from numbering the
+    distinct (group, value) pairs the same way.  Group keys may be NULL; they
+    are joined null-safely.
+    """
+    groups, row_id = list(groups), list(row_id)
+    stats = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("group_rows"), F.sum(value).alias("group_total"))
+    if not force_distributed:
+        largest = largest_group if largest_group is not None else (stats.agg(F.max("group_rows").alias("m")).first()["m"] or 0)
+        if largest <= max_window_rows:
+            g = Window.partitionBy(*groups)
+            return df.select(
+                "*",
+                F.rank().over(g.orderBy(F.col(value).asc())).cast("long").alias("rank_asc"),
+                F.dense_rank().over(g.orderBy(F.col(value).desc())).cast("long").alias("dense_rank_desc"),
+                F.count(F.lit(1)).over(g).alias("group_rows"),
+                F.sum(value).over(g).alias("group_total"),
+            )
+
+    def on(left: DataFrame, right: DataFrame, cols: list[str]):
+        cond = None
+        for c in cols:
+            t = left[c].eqNullSafe(right[c])
+            cond = t if cond is None else (cond & t)
+        return cond
+
+    numbered, _ = global_row_numbers(df, {"__rn": [*groups, value, *row_id]}, **kw)
+    pairs = numbered.groupBy(*groups, value).agg(F.min("__rn").alias("__value_start"))
+    pairs_numbered, _ = global_row_numbers(pairs, {"__drn": [*groups, value]}, **kw)
+    group_starts = pairs_numbered.groupBy(*groups).agg(
+        F.min("__value_start").alias("__group_start"), F.min("__drn").alias("__dgroup_start"),
+        F.count(F.lit(1)).alias("__distinct"))
+    per_value = pairs_numbered.alias("p").join(group_starts.alias("s"), on(pairs_numbered.alias("p"), group_starts.alias("s"), groups)) \
+        .select(*[F.col(f"p.{c}").alias(c) for c in groups], F.col(f"p.{value}").alias(value),
+                (F.col("p.__value_start") - F.col("s.__group_start") + 1).alias("rank_asc"),
+                (F.col("s.__distinct") - (F.col("p.__drn") - F.col("s.__dgroup_start"))).alias("dense_rank_desc"))
+    base = df.alias("d")
+    with_ranks = base.join(per_value.alias("v"), on(base, per_value.alias("v"), [*groups, value])) \
+        .select("d.*", F.col("v.rank_asc").cast("long").alias("rank_asc"), F.col("v.dense_rank_desc").cast("long").alias("dense_rank_desc"))
+    out = with_ranks.alias("w").join(stats.alias("t"), on(with_ranks.alias("w"), stats.alias("t"), groups)) \
+        .select("w.*", F.col("t.group_rows"), F.col("t.group_total"))
+    return out

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martforge.functions import columns as C
+from martforge.operators.ranking import group_ranks
 from martforge.plans.analysis.common import dated_revenue_facts
 
 
@@ -27,20 +28,24 @@ def product_quarter(marts: dict[str, DataFrame]) -> DataFrame:
                                              "year", "quarter", "net_revenue", "units_sold", "unique_buyers")
 
 
-def product_performance_q(marts: dict[str, DataFrame]) -> DataFrame:
+def product_performance_q(marts: dict[str, DataFrame], **rank_kw) -> DataFrame:
+    """Rank, share and percentile within (category, year, quarter); QoQ growth per product.
+
+    The per-category ranks come from ``operators.ranking.group_ranks``: plain
+    windows while the largest category fits one task, global range-bucket
+    numbering beyond that.  A product appears once per quarter, so the
+    largest category of the product dimension bounds every group (one scan of
+    the dimension, not of the fact).
+    """
     pq = product_quarter(marts)
-    cat = Window.partitionBy("category", "year", "quarter")
-    by_rev_desc = cat.orderBy(F.col("net_revenue").desc())
-    by_rev_asc = cat.orderBy(F.col("net_revenue").asc())
-    hist = Window.partitionBy("product_key").orderBy("year", "quarter")
-    prev = F.lag("net_revenue").over(hist)
-    n_in_cat = F.count(F.lit(1)).over(cat)
-    pct_rank = F.coalesce(C.pct(F.rank().over(by_rev_asc) - 1, n_in_cat - 1), F.lit(0).cast("decimal(18,2)"))
-    base = pq.select(
-        "*",
-        F.dense_rank().over(by_rev_desc).cast("long").alias("rank_in_category"),
-        C.pct("net_revenue", F.sum("net_revenue").over(cat)).alias("pct_of_category"),
-        pct_rank.alias("percentile_in_category"),
+    largest = marts["dim_product"].groupBy("category").count().agg(F.max("count").alias("m")).first()["m"] or 0
+    ranked = group_ranks(pq, ["category", "year", "quarter"], "net_revenue", ["product_key"], largest_group=largest, **rank_kw)
+    prev = F.lag("net_revenue").over(Window.partitionBy("product_key").orderBy("year", "quarter"))   # <= one row per quarter
+    base = ranked.select(
+        *pq.columns,
+        F.col("dense_rank_desc").alias("rank_in_category"),
+        C.pct("net_revenue", "group_total").alias("pct_of_category"),
+        F.coalesce(C.pct(F.col("rank_asc") - 1, F.col("group_rows") - 1), F.lit(0).cast("decimal(18,2)")).alias("percentile_in_category"),
         prev.alias("prev_quarter_revenue"),
     )
     return base.withColumn("qoq_growth_pct", C.growth_pct("net_revenue", "prev_quarter_revenue"))

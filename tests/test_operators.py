@@ -182,3 +182,16 @@ def test_dedup_aggregates_before_the_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_max") > plan.index("Exchange hashpartitioning")   # printed top-down: partial sits below the exchange
     assert out.where("k = 0").first()["v"] == "999"   # greatest raw text among the hot key's rows
+
+
+def test_group_ranks_distributed_equals_windows(spark):
+    from martforge.operators.ranking import group_ranks
+    rnd = random.Random(11)
+    # one hot group with most rows, ties in value, a NULL group key
+    data = [("hot" if i < 300 else rnd.choice(["a", "b", None]), rnd.randint(0, 40), i) for i in range(420)]
+    df = spark.createDataFrame(data, "g string, v int, id int")
+    cols = ["g", "v", "id", "rank_asc", "dense_rank_desc", "group_rows", "group_total"]
+    fast = group_ranks(df, ["g"], "v", ["id"])
+    dist = group_ranks(df, ["g"], "v", ["id"], force_distributed=True, buckets=5, samples_per_bucket=10)
+    assert rows(dist, *cols) == rows(fast, *cols)
+    assert dist.count() == 420
