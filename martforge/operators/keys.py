@@ -9,10 +9,23 @@ are about n^2 / 2^65: negligible below 10^8 rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def surrogate_key(*natural_key: str | Column) -> Column:
     """Deterministic BIGINT key from the natural key columns."""
     return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in natural_key])
+
+
+def dense_surrogate_keys(df: DataFrame, natural_key: Sequence[str], out: str = "surrogate_key", offset: int = 0) -> DataFrame:
+    """Fallback when the hash key collides: dense BIGINT keys ``offset+1 ...`` in natural-key order.
+
+    Computed with the distributed global row number (range buckets, no
+    single-task window); deterministic for a given set of natural keys.
+    """
+    from martforge.operators.ranking import global_row_number
+    numbered, _ = global_row_number(df, list(natural_key), out=out)
+    return numbered.withColumn(out, (F.col(out) + F.lit(offset)).cast("long"))

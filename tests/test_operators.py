@@ -195,3 +195,11 @@ def test_group_ranks_distributed_equals_windows(spark):
     dist = group_ranks(df, ["g"], "v", ["id"], force_distributed=True, buckets=5, samples_per_bucket=10)
     assert rows(dist, *cols) == rows(fast, *cols)
     assert dist.count() == 420
+
+
+def test_dense_surrogate_keys(spark):
+    from martforge.operators.keys import dense_surrogate_keys
+    df = spark.createDataFrame([(c, v) for c in (3, 1, 2) for v in (20, 10)], "customer_id long, version int")
+    out = dense_surrogate_keys(df, ["customer_id", "version"], out="k", offset=100)
+    assert [tuple(r) for r in out.orderBy("k").select("customer_id", "version", "k").collect()] == [
+        (1, 10, 101), (1, 20, 102), (2, 10, 103), (2, 20, 104), (3, 10, 105), (3, 20, 106)]
