@@ -1,3 +1,48 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from martforge.llm import quality
+
+_RULES = f"""
+    n_words < {quality.MIN_WORDS}
+    OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words
+    OR word_chars < {quality.MEAN_WORD_CHARS[0]} * n_words OR word_chars > {quality.MEAN_WORD_CHARS[1]} * n_words
+    OR 100 * n_symbols > {quality.MAX_SYMBOL_PERCENT} * n_words
+    OR 100 * n_dup_lines > {quality.MAX_DUP_LINE_PERCENT} * n_lines
+"""
+
+OP5 = rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), cut AS (
+    SELECT r, doc_id, text,
+        [w FOR w IN regexp_split_to_array(text, '[\x20\x09-\x0D]+') IF w <> ''] AS words,
+        [l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS lines
+    FROM texts
+), words AS (
+    SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM cut
+), windows AS (
+    SELECT r, i, w, lead(w, 4) OVER o IS NOT NULL AS whole,
+        [w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o] AS five
+    FROM words WINDOW o AS (PARTITION BY r ORDER BY i)
+), twice AS (
+    SELECT r, i, CASE WHEN whole AND count(*) OVER (PARTITION BY r, five) > 1 THEN 1 ELSE 0 END AS d FROM windows
+), covered AS (
+    SELECT r, max(d) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS c FROM twice
+), repeats AS (
+    SELECT r, sum(c) AS n FROM covered GROUP BY r
+), features AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words,
+        length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        len(lines)::BIGINT AS n_lines,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        coalesce(n, 0)::BIGINT AS n_repeat_words
+    FROM cut LEFT JOIN repeats USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+    NOT ({_RULES}) AS kept
+FROM features
+"""
+
+ORACLE: dict[str, str] = {"op5_quality_rules": OP5}
