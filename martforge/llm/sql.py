@@ -45,4 +45,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM features
 """
 
-ORACLE: dict[str, str] = {"op5_quality_rules": OP5}
+OP2 = """
+WITH whole AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op2_exact_top_k": OP2, "op5_quality_rules": OP5}
