@@ -115,3 +115,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def own_names(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns: clashing extra columns of the input cannot reach the operator's joins."""
     return df.select(*[df[n] for n in names])
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Columns that place a document among the others: ``__doc`` (``doc_id``, nulls last) and ``__version``.
+
+    The version is 0 while every ``doc_id`` is there once, else a hash of the text: rows
+    that agree in ``doc_id`` and text are the same document, others are told apart.
+    """
+    doc = F.coalesce(docs["doc_id"].cast("long"), F.lit(2**63 - 1))
+    unique = docs.groupBy(doc.alias("d")).count().where("count > 1").isEmpty()
+    version = F.lit(0).cast("long") if unique else F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.withColumns({"__doc": doc, "__version": version})
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
