@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import bpe_count, licenses, line_dedup, packing, quality, sentencepiece_codec, simhash, suffix, vafile
+from martforge.llm import bpe_count, debruijn, licenses, line_dedup, packing, quality, sentencepiece_codec, simhash, suffix, vafile
 from martforge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.report(table(spark, sf_dir, "documents"), length=50)
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.report(table(spark, sf_dir, "documents"), length=20)
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))

@@ -42,7 +42,11 @@ def _settle(anchor, content, doc, version, start, within: bool):
     new_anchor = np.append(True, a[1:] != a[:-1])[:len(a)]
     new_class = new_anchor | np.append(True, c[1:] != c[:-1])[:len(a)]
     first = np.flatnonzero(new_class)[np.cumsum(new_class) - 1]
-    later = ~new_class if within else d > d[first]
+    if within:  # equal rows of the input are the same place
+        v, s = version[order], start[order]
+        later = (d != d[first]) | (v != v[first]) | (s != s[first])
+    else:
+        later = d > d[first]
     return order, new_anchor, new_class, later
 
 
