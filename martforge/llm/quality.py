@@ -144,11 +144,16 @@ def order_rules(docs: DataFrame, rules: list[Rule] = RULES, sample_rows: int = 2
 
 
 def keep_good(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """The rows that no rule rejects, with their own columns; each rule sees what the ones before it left."""
+    """The rows that no rule rejects, with their own columns; each rule sees what the ones before it left.
+
+    A filter on a row number is not moved below the projection that numbers the rows,
+    so the features are computed once, in their own projections, and not inside the condition.
+    """
     done: list = []
     df = docs.select([docs[c] for c in docs.columns])
     for rule in rules if rules is not None else order_rules(docs):
-        df = _with(df, rule.features, done).where(f"NOT ({rule.rejects})")
+        df = _with(df, rule.features, done).withColumn("__row", F.monotonically_increasing_id())
+        df = df.where(f"NOT ({rule.rejects}) AND __row >= 0")
     return df.select([F.col(f"`{c}`") for c in docs.columns])
 
 
