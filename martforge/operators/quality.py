@@ -1,4 +1,4 @@
-"""Pipeline data-quality gate: six assertions over the marts.
+"""Pipeline data-quality gate: seven assertions over the marts.
 
 ``dq_report`` evaluates every check and returns ``(check_id, check, n_bad,
 passed)``; ``dq_enforce`` raises after evaluating all of them (the source
@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from martforge.operators import checks
 
 CHECK_NAMES = {
-    1: "orphan customers in fact_orders",
-    2: "orphan products in fact_orders",
-    3: "customers without exactly one current row",
-    4: "overlapping SCD2 windows",
-    5: "rows with bad net_revenue math",
-    6: "rows with non-positive qty/price",
+    1: "order lines whose customer version is missing",
+    2: "order lines whose product is missing",
+    3: "customers with no or several current versions",
+    4: "pairs of versions valid at the same time",
+    5: "order lines whose net differs from gross less discount",
+    6: "order lines with a quantity or price out of range",
+    7: "versions that end before they begin",
 }
 
 
@@ -50,10 +51,19 @@ def overlapping_pairs(dim: DataFrame, natural_key: str = "customer_id", version_
     The two counts are running sums over one stream of 2 events per version
     ordered by (time, event order), so the cost is a sort per entity, linear
     in its versions (a pathological entity with millions of versions is a
-    long sorted scan, not a quadratic join).  Assumes from <= to for every
-    version; inverted windows are reported by ``inverted_windows``.
+    long sorted scan, not a quadratic join).
+
+    The sums hold for versions with from <= to.  Versions that end before they
+    begin (see ``inverted_windows``) are errors and few; they stay out of the
+    sweep, and only their own overlaps are found by a join on the entity.
     """
     k, f, t = natural_key, valid_from, valid_to
+    inverted = dim.where(F.col(f) > F.col(t)).select(F.col(k).alias("k"), F.col(version_key).alias("v1"), F.col(f).alias("f1"), F.col(t).alias("t1"))
+    every = dim.select(F.col(k).alias("k"), F.col(version_key).alias("v2"), F.col(f).alias("f2"), F.col(t).alias("t2"))
+    odd = inverted.join(every, "k").where((F.col("v1") != F.col("v2")) & (F.col("f1") < F.col("t2")) & (F.col("f2") < F.col("t1")))
+    # an inverted version and a proper one make two ordered pairs, two inverted ones are met from both sides
+    odd = odd.select(F.when(F.col("f2") > F.col("t2"), 1).otherwise(2).cast("long").alias("v"))
+    dim = dim.where(F.col(f) <= F.col(t))
     events = dim.select(
         F.col(k).alias("k"),
         F.explode(F.array(
@@ -67,7 +77,7 @@ def overlapping_pairs(dim: DataFrame, natural_key: str = "customer_id", version_
     s = swept.select(F.when(F.col("ord") == 0, F.col("run_from")).otherwise(-F.col("run_to")).cast("long").alias("v"))
     zero = dim.where(F.col(f) == F.col(t)).groupBy(k, f).agg(F.count(F.lit(1)).alias("m")).select((F.col("m") * F.col("m")).cast("long").alias("v"))
     proper = dim.where(F.col(f) < F.col(t)).select(F.lit(-1).cast("long").alias("v"))
-    return s.unionByName(zero).unionByName(proper).agg(F.coalesce(F.sum("v"), F.lit(0)).cast("long").alias("n_bad"))
+    return s.unionByName(zero).unionByName(proper).unionByName(odd).agg(F.coalesce(F.sum("v"), F.lit(0)).cast("long").alias("n_bad"))
 
 
 def inverted_windows(dim: DataFrame, valid_from: str = "effective_from", valid_to: str = "effective_to") -> DataFrame:
@@ -75,7 +85,7 @@ def inverted_windows(dim: DataFrame, valid_from: str = "effective_from", valid_t
 
 
 def dq_report(fact_orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """All six checks; one row each.  Q5 and Q6 share one scan of the fact."""
+    """All seven checks; one row each.  Q5 and Q6 share one scan of the fact."""
     math = fact_orders.agg(
         F.count_if(F.round("net_revenue", 2) != F.round(F.col("gross_revenue") - F.col("discount_amount"), 2)).alias("q5"),
         F.count_if((F.col("quantity") <= 0) | (F.col("unit_price") < 0)).alias("q6"),
@@ -85,6 +95,7 @@ def dq_report(fact_orders: DataFrame, dim_customer: DataFrame, dim_product: Data
         _one(2, orphan_count(fact_orders, "product_key", dim_product, "product_key")),
         _one(3, one_current_violations(dim_customer).agg(F.count(F.lit(1)).alias("n_bad"))),
         _one(4, overlapping_pairs(dim_customer)),
+        _one(7, inverted_windows(dim_customer)),
         math.select(F.explode(F.array(F.struct(F.lit(5).alias("check_id"), F.lit(CHECK_NAMES[5]).alias("check"), F.col("q5").cast("long").alias("n_bad")),
                                       F.struct(F.lit(6).alias("check_id"), F.lit(CHECK_NAMES[6]).alias("check"), F.col("q6").cast("long").alias("n_bad")))).alias("x")).select("x.*"),
     ]

@@ -57,7 +57,7 @@ def test_dq_checks_fire(spark):
     ], "customer_key long, product_key long, quantity int, unit_price decimal(10,2), gross_revenue decimal(12,2), "
        "discount_amount decimal(12,2), net_revenue decimal(12,2)")
     rep = {r["check_id"]: r["n_bad"] for r in quality.dq_report(fact, dim_c, dim_p).collect()}
-    assert rep == {1: 2, 2: 1, 3: 2, 4: 2, 5: 1, 6: 1}
+    assert rep == {1: 2, 2: 1, 3: 2, 4: 2, 5: 1, 6: 1, 7: 0}
     with pytest.raises(ValueError, match="DQ FAIL"):
         quality.dq_enforce(quality.dq_report(fact, dim_c, dim_p))
 
@@ -78,7 +78,8 @@ def test_overlap_sweep_equals_pairwise(spark, seed, n):
     recs = []
     for i in range(n):
         a = rnd.randint(0, 12)
-        b = a + rnd.choice([0, 0, 1, 2, 5])     # includes zero-length windows
+        b = a + rnd.choice([0, 0, 1, 2, 5, -1, -4])     # includes zero-length and inverted windows
         recs.append((i, rnd.randint(1, 3), T(2020, 1, 1) + dt.timedelta(days=a), T(2020, 1, 1) + dt.timedelta(days=b), True))
     got = quality.overlapping_pairs(_dim(spark, recs)).first()["n_bad"]
     assert got == _brute_pairs(recs)
+    assert quality.inverted_windows(_dim(spark, recs)).first()["n_bad"] == sum(r[3] < r[2] for r in recs)
