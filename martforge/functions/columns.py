@@ -113,15 +113,23 @@ def duration_seconds(start: str | Column, end: str | Column) -> Column:
     return F.round(micros / F.lit(1_000_000).cast("decimal(7,0)"), 0).cast("int")
 
 
-def pct(numer: str | Column, denom: str | Column, scale: int = 2) -> Column:
-    """``ROUND(100.0 * numer / NULLIF(denom, 0), scale)`` in exact decimal arithmetic.
+def half_up(numer: Column, denom: Column, scale: int) -> Column:
+    """``numer / denom`` rounded once, half away from zero, for integers and 2-decimal amounts.
 
-    NULL on a zero (or NULL) denominator; rounding is half away from zero.  The
-    literal 100 is a decimal, so integer operands are widened to decimals and
-    the division never goes through floating point.
+    Spark's decimal quotient keeps as few as 6 decimals once its operands are wide
+    sums, and rounding it again can be off by one unit.  Here both sides become
+    integers (hundredths), and one integer division settles the last digit.
     """
-    hundred = F.lit(100).cast("decimal(3,0)")
-    return F.round(hundred * col_(numer) / F.nullif(col_(denom), F.lit(0)), scale).cast(f"decimal(18,{scale})")
+    n = (numer.cast("decimal(30,2)") * 100).cast("decimal(32,0)")
+    d = (F.nullif(denom, F.lit(0)).cast("decimal(30,2)") * 100).cast("decimal(32,0)")
+    units = F.call_function("div", F.abs(n) * F.lit(2 * 10 ** scale).cast("decimal(6,0)") + F.abs(d), F.abs(d) * F.lit(2).cast("decimal(1,0)"))
+    signed = (units * F.signum(n).cast("int") * F.signum(d).cast("int")).cast("decimal(20,0)")
+    return (signed / F.lit(10 ** scale).cast("decimal(6,0)")).cast(f"decimal(18,{scale})")
+
+
+def pct(numer: str | Column, denom: str | Column, scale: int = 2) -> Column:
+    """``ROUND(100.0 * numer / NULLIF(denom, 0), scale)``, exactly (see ``half_up``); NULL on a zero or NULL denominator."""
+    return half_up(col_(numer).cast("decimal(28,2)") * F.lit(100).cast("decimal(3,0)"), col_(denom), scale)
 
 
 def growth_pct(current: str | Column, previous: str | Column, scale: int = 2) -> Column:
@@ -130,13 +138,8 @@ def growth_pct(current: str | Column, previous: str | Column, scale: int = 2) ->
 
 
 def avg_round(total: str | Column, count: str | Column, scale: int) -> Column:
-    """``ROUND(AVG(x), scale)`` from the exact sum and count of x.
-
-    Spark's decimal ``avg`` keeps too few digits and a double ``avg`` rounds
-    twice, so the quotient is taken in decimals.  Integer totals are widened.
-    """
-    t = col_(total)
-    return F.round(t / col_(count).cast("decimal(20,0)"), scale).cast(f"decimal(18,{scale})")
+    """``ROUND(AVG(x), scale)`` from the exact sum and count of x (see ``half_up``)."""
+    return half_up(col_(total), col_(count), scale)
 
 
 def to_exact(c: str | Column) -> Column:

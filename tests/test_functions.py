@@ -115,3 +115,18 @@ def test_date_key_and_month_diff(spark):
                                "ts timestamp_ntz, a date, b date")
     r = df.select(C.date_key("ts").alias("k"), C.month_diff("a", "b").alias("m"), C.month_start("ts").alias("ms")).first()
     assert r["k"] == 20241230 and r["m"] == 4 and r["ms"] == dt.date(2024, 12, 1)
+
+
+def test_averages_and_shares_round_once_at_any_size(spark):
+    """A wide sum's quotient keeps 6 decimals in Spark; rounding that again would give 5.01."""
+    df = spark.sql("SELECT CAST('100105.00' AS DECIMAL(38,2)) AS total, 20001L AS n, CAST('-100105.00' AS DECIMAL(38,2)) AS debt, 0L AS none")
+    r = df.select(C.avg_round("total", "n", 2).alias("a"), C.avg_round("debt", "n", 2).alias("b"), C.avg_round("total", "none", 2).alias("c"),
+                  C.pct("n", F.lit(200010)).alias("d"), C.pct(F.lit(1), F.lit(8), 0).alias("e")).first()
+    from decimal import Decimal as D
+    assert (r["a"], r["b"], r["c"], r["d"], r["e"]) == (D("5.00"), D("-5.00"), None, D("10.00"), D("13"))
+    import random
+    rnd = random.Random(1)
+    pairs = [(D(rnd.randint(-10**12, 10**12)) / 100, rnd.randint(1, 10**6)) for _ in range(300)]
+    got = spark.createDataFrame(pairs, "t decimal(38,2), n long").select("t", "n", C.avg_round("t", "n", 2).alias("a")).collect()
+    from decimal import ROUND_HALF_UP
+    assert all(x["a"] == (x["t"] / x["n"]).quantize(D("0.01"), ROUND_HALF_UP) for x in got)
