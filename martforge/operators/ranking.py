@@ -2,131 +2,51 @@
 
 ``ntile(k) OVER (ORDER BY v)`` without ``PARTITION BY`` makes Spark move every
 row into a single task (``Exchange SinglePartition``).  This module computes
-the same numbers with all work spread over range buckets:
-
-1. a total order key ``struct(order columns..., unique tie-breakers...)``;
-2. a bounded sample (about ``samples_per_bucket`` keys per bucket) is
-   collected to choose ``buckets - 1`` boundaries; a row's bucket is the
-   number of boundaries <= its key, evaluated by a balanced comparison tree
-   (O(log buckets) per row) — a pure function of the row, so retries and
-   recomputation cannot move a row to another bucket;
-3. rows are counted per bucket (one row per bucket reaches the driver) and
-   turned into exclusive prefix offsets;
-4. ``row_number`` runs per bucket (``Window.partitionBy(bucket)``) and is
-   shifted by the bucket's offset;
+the same numbers with all work spread over range partitions:
+
+1. ``repartitionByRange`` on a total order (order columns plus unique
+   tie-breakers, so massive ties in the ordered value split, too);
+2. the partition number is kept as a column and the rows are checkpointed, so a
+   retried task cannot see another partitioning;
+3. rows are counted per partition; prefix sums of these counts (one row per
+   partition, a table like any other) are each partition's offset;
+4. ``row_number`` runs per partition and is shifted by its offset;
 5. tile = f(row number, n, k), the standard NTILE fill (first ``n mod k``
    tiles get one extra row).
 
-Buckets stay balanced even with massive ties in the ordered value because the
-tie-breakers make the key unique.  What reaches the driver is bounded by the
-number of buckets, never by the data.
+The driver sees nothing but the number of rows.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 2_000_000
+from martforge.session import checkpoint_root
 
 
-def _key(order_by: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)])
-
-
-def _lit(v, dtype) -> Column:
-    # Date/time values travel as ISO text so no time-zone conversion can apply.
-    if isinstance(v, (_dt.datetime, _dt.date)):
-        return F.lit(v.isoformat(sep=" ") if isinstance(v, _dt.datetime) else v.isoformat()).cast(dtype)
-    return F.lit(v).cast(dtype)
-
-
-def _literal_key(values: Sequence, dtypes: Sequence) -> Column:
-    return F.struct(*[_lit(v, t).alias(f"k{i}") for i, (v, t) in enumerate(zip(values, dtypes))])
-
-
-def _bucket_expr(key: Column, boundaries: list[Column]) -> Column:
-    """Number of boundaries <= key, via a balanced binary search tree of CASEs."""
-    def search(lo: int, hi: int) -> Column:
-        # boundaries[lo:hi] undecided; result offset lo
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= boundaries[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
-    return search(0, len(boundaries))
-
-
-def _sort_key(values) -> tuple:
-    """Python ordering that matches Spark's ascending order: NULL first, NaN last."""
-    out = []
-    for v in values:
-        if v is None:
-            out.append((0, 0, 0))
-        elif isinstance(v, float) and math.isnan(v):
-            out.append((1, 1, 0))
-        else:
-            out.append((1, 0, v))
-    return tuple(out)
-
-
-def global_row_numbers(df: DataFrame, orderings: dict[str, Sequence[str]], *, buckets: int | None = None,
-                       rows_per_bucket: int = ROWS_PER_BUCKET, samples_per_bucket: int = 64, seed: int = 17) -> tuple[DataFrame, int]:
-    """``row_number() OVER (ORDER BY ...)`` for several orderings at once, over range buckets.
+def global_row_numbers(df: DataFrame, orderings: dict[str, Sequence[str]], *, partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``row_number() OVER (ORDER BY ...)`` for several orderings, over range partitions.
 
     ``orderings`` maps an output column to its order columns, which must make
-    rows unique (append natural-key tie-breakers).  Small jobs, whatever the
-    number of orderings: one count, one bounded sample (boundaries for every
-    ordering are cut from it), one per-bucket count.  Returns (frame, n).
+    rows unique (append natural-key tie-breakers).  ``partitions`` defaults to the
+    session's shuffle partitions.  Returns (frame, n).
     """
-    orderings = {k: list(v) for k, v in orderings.items()}
-    n = df.count()
-    if buckets is None:
-        # enough buckets to bound each one's size, and never fewer than the
-        # cluster's cores so the numbering always runs in parallel
-        buckets = max(-(-n // rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism)
-    buckets = max(1, min(buckets, max(n, 1)))
-    cols = list(dict.fromkeys(c for order in orderings.values() for c in order))
-    dtypes = {f.name: f.dataType for f in df.select(*cols).schema.fields}
-
-    sample = []
-    if buckets > 1:
-        fraction = min(1.0, buckets * samples_per_bucket / max(n, 1))
-        sample = df.select(*cols).sample(withReplacement=False, fraction=fraction, seed=seed).collect()
+    checkpoint_root(df.sparkSession)
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df
-    bucket_cols = {}
-    for name, order in orderings.items():
-        boundaries: list[Column] = []
-        if len(sample) >= buckets > 1:
-            keys = sorted((tuple(r[c] for c in order) for r in sample), key=_sort_key)
-            step = len(keys) / buckets
-            picks = [keys[int(round(step * i))] for i in range(1, buckets)]
-            uniq = [p for j, p in enumerate(picks) if j == 0 or p != picks[j - 1]]
-            boundaries = [_literal_key(list(p), [dtypes[c] for c in order]) for p in uniq]
-        bcol = f"__bucket_{name}"
-        out = out.withColumn(bcol, _bucket_expr(_key(order), boundaries) if boundaries else F.lit(0))
-        bucket_cols[name] = bcol
-
-    stacked = out.select(F.explode(F.array(*[F.struct(F.lit(name).alias("o"), F.col(b).alias("b"))
-                                              for name, b in bucket_cols.items()])).alias("x"))
-    counts: dict[str, dict[int, int]] = {name: {} for name in orderings}
-    for r in stacked.groupBy("x.o", "x.b").agg(F.count(F.lit(1)).alias("n")).collect():
-        counts[r["o"]][r["b"]] = r["n"]
-
     for name, order in orderings.items():
-        per = counts[name]
-        offsets, acc = [], 0
-        for b in range(max(per, default=0) + 1):
-            offsets.append(acc)
-            acc += per.get(b, 0)
-        offset_map = F.create_map(*[x for b, off in enumerate(offsets) for x in (F.lit(b), F.lit(off).cast("long"))])
-        bcol = bucket_cols[name]
-        w = Window.partitionBy(bcol).orderBy(*[F.col(c).asc() for c in order])
-        out = out.withColumn(name, (F.row_number().over(w) + F.element_at(offset_map, F.col(bcol))).cast("long"))
-    return out.drop(*bucket_cols.values()), n
+        columns = [F.col(c).asc() for c in order]
+        ranged = out.repartitionByRange(parts, *columns).withColumn("__range", F.spark_partition_id()).checkpoint()
+        before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
+        offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+        offsets = offsets.select(F.col("__range"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+        within = Window.partitionBy("__range").orderBy(*columns)
+        out = ranged.join(offsets, "__range").withColumn(name, (F.row_number().over(within) + F.col("__offset")).cast("long"))
+        out = out.drop("__range", "__offset")
+    return out, df.count()
 
 
 def global_row_number(df: DataFrame, order_by: Sequence[str], *, out: str = "row_number", **kw) -> tuple[DataFrame, int]:
@@ -159,58 +79,36 @@ def ntiles_distributed(df: DataFrame, k: int, orderings: dict[str, Sequence[str]
     return numbered.drop(*tmp)
 
 
-def group_ranks(df: DataFrame, groups: Sequence[str], value: str, row_id: Sequence[str], *,
-                max_window_rows: int = ROWS_PER_BUCKET, largest_group: int | None = None,
-                force_distributed: bool = False, **kw) -> DataFrame:
+def group_ranks(df: DataFrame, groups: Sequence[str], value: str, row_id: Sequence[str], **kw) -> DataFrame:
     """Per-group ranking columns without a window partition per group.
 
     Adds ``rank_asc`` (= ``rank() OVER (PARTITION BY groups ORDER BY value)``),
     ``dense_rank_desc`` (= ``dense_rank() ... ORDER BY value DESC``), ``group_rows``
     and ``group_total`` (sum of value).  ``value`` must be non-NULL.
 
-    When the largest group holds at most ``max_window_rows`` rows, plain
-    windows are used; ``largest_group`` may supply a known upper bound (else
-    one aggregate job measures it).  Beyond that — a group too
-    big for one task — everything is computed from global row numbers over
-    range buckets: a row's rank is the first position of its value minus the
-    first position of its group, and the dense rank comes from numbering the
-    distinct (group, value) pairs the same way.  Group keys may be NULL; they
-    are joined null-safely.
+    A group may be of any size.  Rows are collapsed to distinct (group, value) pairs
+    with their counts; the pairs are numbered globally.  A pair's dense rank is its
+    distance to its group's last pair, and its rank is one more than the rows of the
+    group's pairs before it: the difference of two running totals over the numbered
+    pairs.  Group keys may be NULL; they are joined null-safely.
     """
     groups, row_id = list(groups), list(row_id)
-    stats = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("group_rows"), F.sum(value).alias("group_total"))
-    if not force_distributed:
-        largest = largest_group if largest_group is not None else (stats.agg(F.max("group_rows").alias("m")).first()["m"] or 0)
-        if largest <= max_window_rows:
-            g = Window.partitionBy(*groups)
-            return df.select(
-                "*",
-                F.rank().over(g.orderBy(F.col(value).asc())).cast("long").alias("rank_asc"),
-                F.dense_rank().over(g.orderBy(F.col(value).desc())).cast("long").alias("dense_rank_desc"),
-                F.count(F.lit(1)).over(g).alias("group_rows"),
-                F.sum(value).over(g).alias("group_total"),
-            )
-
-    def on(left: DataFrame, right: DataFrame, cols: list[str]):
-        cond = None
-        for c in cols:
-            t = left[c].eqNullSafe(right[c])
-            cond = t if cond is None else (cond & t)
-        return cond
-
-    numbered, _ = global_row_numbers(df, {"__rn": [*groups, value, *row_id]}, **kw)
-    pairs = numbered.groupBy(*groups, value).agg(F.min("__rn").alias("__value_start"))
-    pairs_numbered, _ = global_row_numbers(pairs, {"__drn": [*groups, value]}, **kw)
-    group_starts = pairs_numbered.groupBy(*groups).agg(
-        F.min("__value_start").alias("__group_start"), F.min("__drn").alias("__dgroup_start"),
-        F.count(F.lit(1)).alias("__distinct"))
-    per_value = pairs_numbered.alias("p").join(group_starts.alias("s"), on(pairs_numbered.alias("p"), group_starts.alias("s"), groups)) \
-        .select(*[F.col(f"p.{c}").alias(c) for c in groups], F.col(f"p.{value}").alias(value),
-                (F.col("p.__value_start") - F.col("s.__group_start") + 1).alias("rank_asc"),
-                (F.col("s.__distinct") - (F.col("p.__drn") - F.col("s.__dgroup_start"))).alias("dense_rank_desc"))
-    base = df.alias("d")
-    with_ranks = base.join(per_value.alias("v"), on(base, per_value.alias("v"), [*groups, value])) \
-        .select("d.*", F.col("v.rank_asc").cast("long").alias("rank_asc"), F.col("v.dense_rank_desc").cast("long").alias("dense_rank_desc"))
-    out = with_ranks.alias("w").join(stats.alias("t"), on(with_ranks.alias("w"), stats.alias("t"), groups)) \
-        .select("w.*", F.col("t.group_rows"), F.col("t.group_total"))
-    return out
+    numbered, _ = global_row_numbers(df.select(*groups, value, *row_id), {"__rn": [*groups, value, *row_id]}, **kw)
+    starts = numbered.groupBy(*groups, value).agg(F.min("__rn").alias("__start"), F.count(F.lit(1)).alias("__rows"))
+    pairs, _ = global_row_numbers(starts, {"__pair": [*groups, value]}, **kw)
+    per_group = pairs.groupBy(*groups).agg(
+        F.min("__start").alias("__group_start"), F.max("__pair").alias("__last_pair"), F.sum("__rows").alias("group_rows"),
+        F.sum(F.col(value) * F.col("__rows")).alias("group_total"))
+
+    def joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+        other = right.select(*[F.col(c).alias(f"__r_{c}") for c in keys], *[c for c in right.columns if c not in keys])
+        same = F.lit(True)
+        for c in keys:
+            same = same & left[c].eqNullSafe(other[f"__r_{c}"])
+        return left.join(other, same).drop(*[f"__r_{c}" for c in keys])
+
+    ranked = joined(pairs, per_group, groups).select(
+        *groups, value, (F.col("__start") - F.col("__group_start") + 1).cast("long").alias("rank_asc"),
+        (F.col("__last_pair") - F.col("__pair") + 1).cast("long").alias("dense_rank_desc"),
+        "group_rows", F.col("group_total"))
+    return joined(df, ranked, [*groups, value])

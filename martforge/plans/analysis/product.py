@@ -28,29 +28,29 @@ def product_quarter(marts: dict[str, DataFrame]) -> DataFrame:
                                              "year", "quarter", "net_revenue", "units_sold", "unique_buyers")
 
 
-def product_performance_q(marts: dict[str, DataFrame], **rank_kw) -> DataFrame:
-    """Rank, share and percentile within (category, year, quarter); QoQ growth per product.
-
-    The per-category ranks come from ``operators.ranking.group_ranks``: plain
-    windows while the largest category fits one task, global range-bucket
-    numbering beyond that.  A product appears once per quarter, so the
-    largest category of the product dimension bounds every group (one scan of
-    the dimension, not of the fact).
-    """
-    pq = product_quarter(marts)
-    largest = marts["dim_product"].groupBy("category").count().agg(F.max("count").alias("m")).first()["m"] or 0
-    ranked = group_ranks(pq, ["category", "year", "quarter"], "net_revenue", ["product_key"], largest_group=largest, **rank_kw)
+def _with_previous(pq: DataFrame) -> DataFrame:
     prev = F.lag("net_revenue").over(Window.partitionBy("product_key").orderBy("year", "quarter"))   # <= one row per quarter
+    return pq.withColumn("prev_quarter_revenue", prev)
+
+
+def _ranked(pq: DataFrame) -> DataFrame:
+    """Rank, share and percentile within (category, year, quarter) by ``operators.ranking.group_ranks``: a category may be of any size."""
+    ranked = group_ranks(pq, ["category", "year", "quarter"], "net_revenue", ["product_key"])
     base = ranked.select(
-        *pq.columns,
+        *[c for c in pq.columns if c != "prev_quarter_revenue"],
         F.col("dense_rank_desc").alias("rank_in_category"),
         C.pct("net_revenue", "group_total").alias("pct_of_category"),
         F.coalesce(C.pct(F.col("rank_asc") - 1, F.col("group_rows") - 1), F.lit(0).cast("decimal(18,2)")).alias("percentile_in_category"),
-        prev.alias("prev_quarter_revenue"),
+        "prev_quarter_revenue",
     )
     return base.withColumn("qoq_growth_pct", C.growth_pct("net_revenue", "prev_quarter_revenue"))
 
 
+def product_performance_q(marts: dict[str, DataFrame]) -> DataFrame:
+    """Rank, share and percentile within (category, year, quarter); QoQ growth per product."""
+    return _ranked(_with_previous(product_quarter(marts)))
+
+
 def latest_quarter(marts: dict[str, DataFrame]) -> tuple[int, int] | None:
     """(year, quarter) of the latest placed/fulfilled sale: one scalar job."""
     f = dated_revenue_facts(marts["fact_orders"], marts["dim_date"], [])
@@ -58,13 +58,14 @@ def latest_quarter(marts: dict[str, DataFrame]) -> tuple[int, int] | None:
     return None if row is None or row["yq"] is None else divmod(row["yq"], 10)
 
 
-def top_products_latest_quarter(perf: DataFrame, latest: tuple[int, int] | None, k: int = 3) -> DataFrame:
+def top_products_latest_quarter(marts: dict[str, DataFrame], k: int = 3) -> DataFrame:
     """Rank <= k per category in the latest (year, quarter); dense rank, so ties may add rows.
 
-    The quarter is a literal, so the filter on the window's partition columns
-    is pushed below the ranking windows: only the latest quarter is ranked.
+    Growth needs the quarter before, so the lag runs first; only the latest quarter is ranked.
     """
+    pq = _with_previous(product_quarter(marts))
+    latest = latest_quarter(marts)
     if latest is None:
-        return perf.where(F.lit(False))
+        return _ranked(pq.where(F.lit(False)))
     y, q = latest
-    return perf.where((F.col("year") == y) & (F.col("quarter") == q) & (F.col("rank_in_category") <= k))
+    return _ranked(pq.where((F.col("year") == y) & (F.col("quarter") == q))).where(F.col("rank_in_category") <= k)

@@ -368,8 +368,8 @@ def rfm_scores(spark, sf):
 
 @query
 def ntile_distributed_lines(spark, sf):
-    fo = fact_orders_natural(_marts(spark, sf)["fact_orders"], spark, sf).select("order_id", "line_no", "net_revenue")
-    return ntile_distributed(fo, 100, ["net_revenue", "order_id", "line_no"], out="tile", buckets=8)
+    fo = _marts(spark, sf)["fact_orders"].select("order_id", "line_no", "net_revenue")
+    return ntile_distributed(fo, 100, ["net_revenue", "order_id", "line_no"], out="tile")
 
 
 @query
@@ -413,7 +413,7 @@ def product_performance_q(spark, sf):
 def top3_products_latest_q(spark, sf):
     m = _marts(spark, sf)
     # report order: category (NULL category last), then rank
-    return product.top_products_latest_quarter(product.product_performance_q(m), product.latest_quarter(m)).drop("product_key") \
+    return product.top_products_latest_quarter(m).drop("product_key") \
         .orderBy(F.col("category").asc_nulls_last(), F.col("rank_in_category").asc_nulls_last())
 
 
