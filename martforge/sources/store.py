@@ -1,10 +1,9 @@
 """Versioned Parquet tables in the cluster's shared checkpoint folder.
 
 Full refresh never overwrites the files a reader may be scanning: every write
-goes to a fresh version directory, and only then the table's pointer moves
-(a one-line text table, itself rewritten atomically by Spark's commit
-protocol).  A failed gate simply never moves the pointer, leaving the
-previous version live.  Written tables also cut lineage for later stages and
+goes to a fresh version directory, and only then one line that names it is appended to
+the table's log (an ordinary JSON table).  Nothing is ever deleted or rewritten:
+a failed write, gate or append leaves the previous version live.  Written tables also cut lineage for later stages and
 survive the loss of executors, which cached blocks would not.
 """
 
@@ -12,10 +11,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martforge.session import checkpoint_root
 
+_LOG = "number long, version string"
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -35,15 +38,24 @@ class TableStore:
         return version
 
     def publish(self, name: str, version: str) -> None:
-        self.spark.createDataFrame([(version,)], "version string").coalesce(1) \
-            .write.mode("overwrite").text(self._pointer(name))
+        """Append ``version`` to the table's log; the entry with the highest number is the live one."""
+        last = self._last(name)
+        self.spark.createDataFrame([((last["number"] if last else 0) + 1, version)], _LOG).coalesce(1) \
+            .write.mode("append").json(self._pointer(name))
 
-    def current_version(self, name: str) -> str | None:
+    def _last(self, name: str):
         try:
-            row = self.spark.read.text(self._pointer(name)).first()
-        except Exception:  # no pointer yet
-            return None
-        return row[0] if row else None
+            log = self.spark.read.schema(_LOG).json(self._pointer(name))
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None  # never published
+            raise
+        return log.where("version IS NOT NULL").orderBy(F.col("number").desc(), "version").first()
+
+    def current_version(self, name: str) -> str | None:
+        """The live version, or None if the table was never published; any other read error is raised."""
+        last = self._last(name)
+        return last["version"] if last else None
 
     def read(self, name: str, version: str | None = None, schema=None) -> DataFrame:
         """Read a version (default: the published one).  A known ``schema``

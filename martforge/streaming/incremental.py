@@ -49,22 +49,24 @@ def merge_latest(current: DataFrame | None, batch: DataFrame, feed: str) -> Data
     """Keep-newest merge of a raw batch into the current raw-latest table."""
     cols = list(S.RAW_COLUMNS[feed]) + ["loaded_at"]
     incoming = batch.select(*cols)
-    rows = incoming if current is None else current.select(*cols).unionByName(incoming)
-    keyed = rows.select(*_typed_keys(feed), *cols)
+    rows = incoming.withColumn("__arrival", F.lit(1))
+    if current is not None:  # of equal load times the later arrival is the newer row
+        rows = current.select(*cols, F.lit(0).alias("__arrival")).unionByName(rows)
+    keyed = rows.select(*_typed_keys(feed), *cols, "__arrival")
     keys = [f"__k_{c}" for c in KEY_TYPES[feed]]
-    return dedup_latest(keyed, keys, ["loaded_at"], tiebreak=list(S.RAW_COLUMNS[feed])).select(*cols)
+    return dedup_latest(keyed, keys, ["loaded_at", "__arrival"], tiebreak=list(S.RAW_COLUMNS[feed])).select(*cols)
 
 
 def start_incremental_load(spark: SparkSession, feed: str, landing_dir: str, table: str, checkpoint: str,
                            store: TableStore | None = None, clock=None):
     """Start (and return) a streaming query that merges newly landed CSV files of ``feed``.
 
-    ``clock()`` gives each batch's load time (default: the driver's wall clock).
+    ``clock()`` gives each batch's load time (default: the time in UTC, to the microsecond).
     Call ``.awaitTermination()``; with availableNow the query stops once every
     file present at start has been merged.
     """
     store = store or TableStore(spark)
-    clock = clock or (lambda: _dt.datetime.now().replace(microsecond=0))
+    clock = clock or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
     stream = (
         spark.readStream.schema(S.RAW_CSV_SCHEMAS[feed])
         .option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)

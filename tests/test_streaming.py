@@ -28,3 +28,32 @@ def test_session_stream_two_drops_equals_static(spark):
     assert rows(streamed) == rows(static.select(*streamed.columns))
     funnel = {r["day"]: r for r in daily_funnel(streamed).collect()}
     assert funnel[D.date()]["visited"] == 2 and funnel[D.date()]["purchased"] == 1
+
+
+def test_equal_load_times_keep_the_later_arrival(spark):
+    from martforge import schemas as S
+    from martforge.streaming.incremental import merge_latest
+    columns = list(S.RAW_COLUMNS["orders"])
+    def order(status):
+        return spark.createDataFrame([tuple("1" if c == "order_id" else status if c == "status" else "x" for c in columns)],
+                                     ", ".join(f"{c} string" for c in columns)).selectExpr("*", "TIMESTAMP_NTZ '2021-01-01 00:00:00' AS loaded_at")
+
+    merged = merge_latest(merge_latest(None, order("refunded"), "orders"), order("cancelled"), "orders")
+    assert [r["status"] for r in merged.collect()] == ["cancelled"]
+
+
+def test_interrupted_publish_keeps_the_old_rows(spark):
+    """A log append that dies in the middle leaves the last published version live."""
+    import uuid
+    import pytest
+    from pyspark.sql import functions as F
+    from martforge.sources.store import TableStore
+    store, name = TableStore(spark), f"interrupted-{uuid.uuid4().hex}"
+    assert store.current_version(name) is None
+    store.publish(name, store.write_version(name, spark.range(3)))
+    broken = spark.range(1).select(F.lit(2).cast("long").alias("number"), F.raise_error(F.lit("lost")).cast("string").alias("version"))
+    with pytest.raises(Exception, match="lost"):
+        broken.write.mode("append").json(store._pointer(name))
+    assert store.read(name).count() == 3
+    store.publish(name, store.write_version(name, spark.range(5)))
+    assert store.read(name).count() == 5
