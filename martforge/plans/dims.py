@@ -12,9 +12,6 @@ from martforge.operators.keys import surrogate_key
 from martforge.operators.scd2 import scd2_apply
 from martforge.operators.sinks import insert_if_absent, upsert
 
-# A calendar longer than this is rejected: it bounds what is broadcast when
-# facts join dim_date (200 years ~ 73k rows, a few MB).
-MAX_CALENDAR_DAYS = 200 * 366
 CALENDAR_TAIL_DAYS = 30
 
 DIM_DATE_SCHEMA = T.StructType([
@@ -63,13 +60,12 @@ def date_bounds(customers: DataFrame, orders: DataFrame, sessions: DataFrame | N
     return days.agg(F.min("d").alias("lo"), F.date_add(F.max("d"), CALENDAR_TAIL_DAYS).alias("hi"))
 
 
-def calendar(bounds: DataFrame, check_span: bool = True) -> DataFrame:
-    """One row per day in [lo, hi] with the calendar attributes."""
-    if check_span:
-        row = bounds.select(F.datediff("hi", "lo").alias("span")).first()
-        span = row["span"] if row is not None else None
-        if span is not None and span > MAX_CALENDAR_DAYS:
-            raise ValueError(f"calendar span of {span} days exceeds {MAX_CALENDAR_DAYS}: check the source timestamps")
+def calendar(bounds: DataFrame) -> DataFrame:
+    """One row per day in [lo, hi] with the calendar attributes.
+
+    A stray timestamp makes it longer, not wrong: joins with the calendar carry no
+    broadcast hint, its real size decides.
+    """
     d = F.col("full_date")
     days = bounds.where(F.col("lo").isNotNull()).select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
     dow = (F.weekday(d) + 1)
