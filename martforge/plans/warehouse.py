@@ -59,12 +59,13 @@ def _concurrently(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFra
 
 
 def build_from_feeds(spark: SparkSession, runs: list[tuple[dict[str, DataFrame], str]], store: TableStore | None = None,
-                     materialize: bool = True, gate: bool = False) -> Warehouse:
+                     materialize: bool = True, gate: bool = True) -> Warehouse:
     """Apply each (raw feeds, run_ts) load in order; returns the final tables.
 
     Dimensions accumulate across runs (insert-if-absent, SCD1 upsert, SCD2);
-    staging and facts are full refreshes of the last run.  With ``gate`` the
-    data-quality suite must pass before the build is returned.
+    staging and facts are full refreshes of the last run.  With ``gate`` (the
+    default) the data-quality suite must pass before the build is returned and
+    its manifest is written: a failing build is never reused or published.
     """
     store = store or TableStore(spark)
 

@@ -52,13 +52,16 @@ def apply_recommended_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and versioned tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a scratch directory is created and registered as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only a local master may leave it
+    unset: a scratch directory is then created and registered as the checkpoint
+    dir.  On a cluster every executor would write to a disk of its own.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="martforge-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
