@@ -60,21 +60,23 @@ def _chk_row() -> str:
 
 
 _DQ = """SELECT * , n_bad = 0 AS passed FROM (
-SELECT 1 AS check_id, 'orphan customers in fact_orders' AS "check", count(*) AS n_bad FROM fact_orders f
+SELECT 1 AS check_id, 'order lines whose customer version is missing' AS "check", count(*) AS n_bad FROM fact_orders f
   WHERE NOT EXISTS (SELECT 1 FROM dim_customer d WHERE d.customer_id = f.customer_id AND d.effective_from = f.customer_effective_from)
 UNION ALL
-SELECT 2, 'orphan products in fact_orders', count(*) FROM fact_orders f WHERE NOT EXISTS (SELECT 1 FROM stg_products p WHERE p.product_id = f.product_id)
+SELECT 2, 'order lines whose product is missing', count(*) FROM fact_orders f WHERE NOT EXISTS (SELECT 1 FROM stg_products p WHERE p.product_id = f.product_id)
 UNION ALL
-SELECT 3, 'customers without exactly one current row', count(*) FROM (
+SELECT 3, 'customers with no or several current versions', count(*) FROM (
   SELECT customer_id FROM dim_customer GROUP BY customer_id HAVING count(*) FILTER (WHERE is_current) <> 1)
 UNION ALL
-SELECT 4, 'overlapping SCD2 windows', count(*) FROM dim_customer a JOIN dim_customer b
+SELECT 4, 'pairs of versions valid at the same time', count(*) FROM dim_customer a JOIN dim_customer b
   ON a.customer_id = b.customer_id AND a.effective_from <> b.effective_from
  AND a.effective_from < b.effective_to AND b.effective_from < a.effective_to
 UNION ALL
-SELECT 5, 'rows with bad net_revenue math', count(*) FILTER (WHERE round(net_revenue, 2) <> round(gross_revenue - discount_amount, 2)) FROM fact_orders
+SELECT 7, 'versions that end before they begin', count(*) FROM dim_customer WHERE effective_to < effective_from
 UNION ALL
-SELECT 6, 'rows with non-positive qty/price', count(*) FILTER (WHERE quantity <= 0 OR unit_price < 0) FROM fact_orders)"""
+SELECT 5, 'order lines whose net differs from gross less discount', count(*) FILTER (WHERE round(net_revenue, 2) <> round(gross_revenue - discount_amount, 2)) FROM fact_orders
+UNION ALL
+SELECT 6, 'order lines with a quantity or price out of range', count(*) FILTER (WHERE quantity <= 0 OR unit_price < 0) FROM fact_orders)"""
 
 _FACT_ORDERS = (f"SELECT order_id, line_no, order_date_key, customer_id, customer_effective_from, product_id, quantity, {dbl('unit_price')} AS unit_price, "
                 f"{dbl('gross_revenue')} AS gross_revenue, {dbl('discount_amount')} AS discount_amount, {dbl('net_revenue')} AS net_revenue, "
