@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -97,18 +96,23 @@ def _arrow_type(name: str) -> pa.DataType:
             "boolean": pa.bool_(), "double": pa.float64()}[name.lower()]
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: a lineage cut that survives lost executors.
 
-    The known schema is passed on, so no inference job runs.  Earlier steps' shuffle
-    files are of no further use once the table exists; collecting garbage lets
-    Spark's cleaner remove them.
+    The known schema is passed on, so no inference job runs.  The write's shuffle files
+    are of no further use once the table exists, so Spark removes them when it ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
