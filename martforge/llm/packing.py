@@ -43,7 +43,7 @@ from tokenizers import Tokenizer
 
 from martforge.llm.common import as_text, small_batches, text_bytes, written
 
-_CACHE = 500_000  # remembered chunks per worker process
+_CACHE = 150_000  # remembered chunks of a generation; a worker process holds two
 _STEP = 1 << 20  # chunks whose ids are joined at a time
 _RUNS = regex.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = regex.compile(r"[^\S \n]|[\x00\x1c-\x1f\x85]")
@@ -67,6 +67,7 @@ class ChunkTokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def chunks(text: str) -> list[str]:
@@ -91,7 +92,7 @@ class ChunkTokenizer:
     def batch_ids(self, texts: pa.Array) -> list[np.ndarray]:
         """As ``ids`` for an Arrow column; texts with single inner spaces only are cut and coded column-wise."""
         odd = pc.match_substring(texts, "  ")
-        for sign in ("\n ", " \n", "\x00"):
+        for sign in ("\n ", " \n", "\n\n", "\x00"):
             odd = pc.or_(odd, pc.match_substring(texts, sign))
         odd = odd.to_numpy(zero_copy_only=False)
         for i in np.flatnonzero(~odd):
@@ -101,6 +102,9 @@ class ChunkTokenizer:
         usual = np.flatnonzero(~odd)
         if len(usual):
             spaced = pc.replace_substring(texts.take(pa.array(usual)), " ", "\x00 ")
+            # a line end between other characters is a token of its own, and so is one mark between a letter and white space
+            spaced = pc.replace_substring_regex(spaced, r"([A-Za-z])([,.])(\x00|\n|$)", "\\1\x00\\2\\3")
+            spaced = pc.replace_substring(spaced, "\n", "\x00\n\x00")
             lists = pc.split_pattern(spaced, "\x00")
             coded = lists.flatten().dictionary_encode()
             for i, got in zip(usual, self._joined(coded.dictionary, coded.indices, lists.offsets.to_numpy())):
@@ -115,19 +119,30 @@ class ChunkTokenizer:
         return (not raw or raw[0] in b" \n" or raw[-1] in b" \n" or len(raw.translate(None, _CONTROLS)) < len(raw)
                 or any(lead in raw for lead in _LEADS))
 
+    def _remember(self, chunk: str, ids: bytes) -> None:
+        """Chunks that are in use move on to the younger generation; the older one goes as a whole."""
+        if len(self.known) >= _CACHE:
+            self.older, self.known = self.known, {}
+        self.known[chunk] = ids
+
     def _joined(self, distinct: pa.Array, codes: pa.Array, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of the texts whose chunks are ``distinct[codes]`` between neighbouring offsets."""
         words = distinct.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) + len(words) > _CACHE:
-            self.known.clear()
         found = list(map(self.known.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
+        missing = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = again = self.older.get(words[i])
+                if again is None:
+                    missing.append(i)
+                else:
+                    self._remember(words[i], again)
         for at in range(0, len(missing), 10_000):
             part = missing[at:at + 10_000]
             for i, got in zip(part, self.library.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
                 found[i] = array("I", got.ids).tobytes()
                 if len(words[i]) <= 64:
-                    self.known[words[i]] = found[i]
+                    self._remember(words[i], found[i])
         ids = np.frombuffer(b"".join(found), dtype="<u4")
         length = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         start = np.cumsum(length) - length
