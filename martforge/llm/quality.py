@@ -86,7 +86,9 @@ def add_repeats(df: DataFrame) -> DataFrame:
         at, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda acc, i: F.struct((acc["n"] + i + WINDOW - F.greatest(i, acc["end"])).alias("n"), (i + WINDOW).alias("end")),
         lambda acc: acc["n"])
-    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("__wh", "__win", "__sorted")
+    # a value that reads the row number stays in its projection: no filter on it moves the loops into a condition
+    counted = F.when(F.monotonically_increasing_id() >= 0, F.coalesce(covered, F.lit(0)).cast("long"))
+    return df.withColumn("n_repeat_words", counted).drop("__wh", "__win", "__sorted")
 
 
 @dataclass(frozen=True)
