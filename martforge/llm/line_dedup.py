@@ -8,10 +8,12 @@ are never removed.
 1. Equal lines collapse to one class; all but the first are removed at once, so a line
    that a third of all documents share enters the join once.
 2. Tokens of a class are ordered by rarity: by the magnitude of the number of
-   occurrences, counted over all lines in a fixed number of hash cells, then by hash.
+   occurrences, counted over all class representatives in a fixed number of hash cells,
+   then by hash.
    Any total order makes the filters exact; rarity makes them selective.
 3. Prefix filter: similar lines share one of their first ``n - ceil(s n) + 1`` tokens.
-   Length and positional filters prune the equi-join on those tokens.
+   Length and positional filters, and a bound on the differing tokens from 64-bit
+   signatures, prune the equi-join on those tokens.
 4. Surviving pairs are verified by the exact Jaccard similarity of their word sets.
 
 Rows that agree in ``doc_id`` and text are one document and get the same result; null
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 from martforge.llm.common import written
 
-CELLS = 4096  # hash cells of the token counts: the only thing that reaches the driver
+CELLS = 1 << 17     # hash cells of the token counts: the only thing that reaches the driver
+_PER_LONG = 16      # levels of 4 bits in a long
 WHITE = "\t\x0b\x0c\r"
 ID = ["doc", "version", "line_no"]  # a line's place: the total order that "earlier" means
 
@@ -42,8 +45,13 @@ def _doc() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
 
 
-def _words(line: str) -> Column:
-    return F.array_remove(F.split(F.translate(line, WHITE, " " * len(WHITE)), " "), "")
+def _words(line: Column) -> Column:
+    # most lines hold no white space but spaces; a plain search is much cheaper than a translation
+    other = F.contains(line, F.lit(WHITE[0]))
+    for c in WHITE[1:]:
+        other = other | F.contains(line, F.lit(c))
+    spaced = F.when(other, F.translate(line, WHITE, " " * len(WHITE))).otherwise(line)
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -62,44 +70,62 @@ def _classes(lines: DataFrame) -> DataFrame:
 
 
 def _levels(lines: DataFrame) -> list[int]:
-    """Per hash cell, the magnitude (binary logarithm) of its tokens' occurrences over all lines."""
-    tokens = lines.select(F.explode(_words("line")).alias("w"))
+    """Magnitudes (binary logarithm, the 16 highest) of the occurrences in every hash cell, 16 cells to a long."""
+    tokens = lines.select(F.explode(_words(F.col("line"))).alias("w"))
     cells = tokens.groupBy(F.pmod(F.xxhash64("w"), F.lit(CELLS)).cast("int").alias("cell")).agg(F.count("*").alias("n"))
-    found = {r["cell"]: int(r["n"]).bit_length() for r in cells.collect()}  # at most CELLS rows
-    return [found.get(i, 0) for i in range(CELLS)]
+    cells = cells.select("cell", F.floor(F.log2("n")).cast("int").alias("level"))
+    top = cells.agg(F.max("level")).first()[0] or 0
+    shift = F.pmod("cell", F.lit(_PER_LONG)) * 4
+    level = F.greatest(F.col("level") - max(top - 15, 0), F.lit(0)).cast("long")
+    longs = cells.groupBy(F.expr(f"cell div {_PER_LONG}").cast("int").alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", level, shift.cast("int"))).alias("v"))
+    found = dict(longs.collect())  # at most CELLS / 16 rows
+    return [found.get(i, 0) for i in range(CELLS // _PER_LONG)]
 
 
 def _tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
-    """``keys``: the line's distinct tokens as longs, rarest first (6 bits of level, 57 bits of hash)."""
-    level = F.lit(levels)
-    out = lines.withColumn("__h", F.array_distinct(F.transform(_words("line"), lambda w: F.xxhash64(w))))
-    return out.withColumn("keys", F.sort_array(F.transform("__h", lambda h: F.shiftleft(
-        F.get(level, F.pmod(h, F.lit(CELLS)).cast("int")).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))))).drop("__h")
+    """``keys``: the line's distinct tokens as longs, rarest first (4 bits of level, 59 bits of hash); ``bits``: 64 bits set by them."""
+    table = F.lit(levels).cast("array<bigint>")
+
+    def key(h: Column) -> Column:
+        cell = F.pmod(h, F.lit(CELLS)).cast("int")
+        level = F.call_function("shiftright", F.get(table, F.call_function("shiftright", cell, F.lit(4))), (cell.bitwiseAND(15) * 4))
+        return F.shiftleft(level.bitwiseAND(15), 59).bitwiseOR(F.shiftrightunsigned(h, 5))
+
+    def bit(so_far: Column, h: Column) -> Column:
+        return so_far.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int")))
+
+    out = lines.withColumn("__h", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))))
+    return out.withColumns({"keys": F.sort_array(F.transform("__h", key)), "bits": F.aggregate("__h", F.lit(0).cast("long"), bit)}).drop("__h")
 
 
 def similar_pairs(firsts: DataFrame, levels: list[int], similarity: Fraction) -> DataFrame:
     """Places ``(a_*, b_*)``, a before b, of class representatives whose Jaccard similarity reaches ``similarity``."""
     p, q = similarity.numerator, similarity.denominator
     keyed = _tokens(firsts, levels).withColumn("n", F.size("keys"))
-    prefix = keyed.select(*ID, "n", F.posexplode(F.slice("keys", F.lit(1), F.expr(f"n - ((n * {p} + {q - 1}) div {q}) + 1").cast("int")))
+    prefix = keyed.select(*ID, "n", "bits", F.posexplode(F.slice("keys", F.lit(1), F.expr(f"n - ((n * {p} + {q - 1}) div {q}) + 1").cast("int")))
                           .alias("at", "token"))
-    side = lambda s: prefix.select("token", *[F.col(c).alias(f"{s}_{c}") for c in (*ID, "n", "at")])
+    side = lambda s: prefix.select("token", *[F.col(c).alias(f"{s}_{c}") for c in (*ID, "n", "bits", "at")])
     candidates = side("a").join(side("b"), "token").where(
         "struct(a_doc, a_version, a_line_no) < struct(b_doc, b_version, b_line_no)"
         # length filter, and the positional filter: the overlap that is still possible reaches the needed one
         f" AND a_n * {q} >= b_n * {p} AND b_n * {q} >= a_n * {p}"
-        f" AND least(a_n - a_at, b_n - b_at) * {p + q} >= (a_n + b_n) * {p}")
+        f" AND least(a_n - a_at, b_n - b_at) * {p + q} >= (a_n + b_n) * {p}"
+        # every bit that only one side sets stands for a token that only one side has
+        f" AND bit_count(a_bits ^ b_bits) * {p + q} <= (a_n + b_n) * {q - p}")
     names = [f"{s}_{c}" for s in "ab" for c in ID]
     candidates = written(candidates.select(*names).distinct(), "line-pairs")
-    # the words of lines that are in a pair only
-    ids = candidates.select(*[F.col(f"a_{c}").alias(c) for c in ID]).union(candidates.select(*[F.col(f"b_{c}").alias(c) for c in ID])).distinct()
-    texts = written(firsts.join(ids, ID, "left_semi"), "line-texts")
-    words = texts.select(*ID, F.array_distinct(_words("line")).alias("words"))
+    # lines travel as text, their words are cut where they are compared
     for s in "ab":
-        candidates = candidates.join(words.select(*[F.col(c).alias(f"{s}_{c}") for c in ID], F.col("words").alias(f"{s}_words")), [f"{s}_{c}" for c in ID])
+        lines = firsts.select(*[F.col(c).alias(f"{s}_{c}") for c in ID], F.col("line").alias(f"{s}_line"))
+        candidates = candidates.join(lines, [f"{s}_{c}" for c in ID])
+    a, b = (F.array_distinct(_words(F.col(f"{s}_line"))) for s in "ab")
     common = F.size(F.array_intersect("a_words", "b_words"))
     total = F.size("a_words") + F.size("b_words")
-    return candidates.where(common * (p + q) >= total * p).select(*names)
+    compared = candidates.select(*names, a.alias("a_words"), b.alias("b_words")).select(
+        *names, (common * (p + q) >= total * p).alias("similar"), F.monotonically_increasing_id().alias("pair"))
+    # reading the row number keeps the comparison in its projection: the words are cut once
+    return compared.where("similar AND pair >= 0").select(*names)
 
 
 def removed_lines(docs: DataFrame, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
