@@ -30,8 +30,7 @@ from pyspark.sql import functions as F
 
 from martforge.llm.common import written
 
-CELLS = 1 << 17     # hash cells of the token counts: the only thing that reaches the driver
-_PER_LONG = 16      # levels of 4 bits in a long
+CELLS = 1 << 15     # hash cells of the token counts: the only thing that reaches the driver
 WHITE = "\t\x0b\x0c\r"
 ID = ["doc", "version", "line_no"]  # a line's place: the total order that "earlier" means
 
@@ -70,27 +69,21 @@ def _classes(lines: DataFrame) -> DataFrame:
 
 
 def _levels(lines: DataFrame) -> list[int]:
-    """Magnitudes (binary logarithm, the 16 highest) of the occurrences in every hash cell, 16 cells to a long."""
+    """Magnitude (binary logarithm, the 16 highest) of the occurrences in every hash cell, as the top bits of a key."""
     tokens = lines.select(F.explode(_words(F.col("line"))).alias("w"))
-    cells = tokens.groupBy(F.pmod(F.xxhash64("w"), F.lit(CELLS)).cast("int").alias("cell")).agg(F.count("*").alias("n"))
-    cells = cells.select("cell", F.floor(F.log2("n")).cast("int").alias("level"))
-    top = cells.agg(F.max("level")).first()[0] or 0
-    shift = F.pmod("cell", F.lit(_PER_LONG)) * 4
-    level = F.greatest(F.col("level") - max(top - 15, 0), F.lit(0)).cast("long")
-    longs = cells.groupBy(F.expr(f"cell div {_PER_LONG}").cast("int").alias("at")).agg(
-        F.bit_or(F.call_function("shiftleft", level, shift.cast("int"))).alias("v"))
-    found = dict(longs.collect())  # at most CELLS / 16 rows
-    return [found.get(i, 0) for i in range(CELLS // _PER_LONG)]
+    cells = tokens.groupBy(F.xxhash64("w").bitwiseAND(CELLS - 1).alias("cell")).agg(F.count("*").alias("n"))
+    found = {r["cell"]: int(r["n"]).bit_length() for r in cells.collect()}  # at most CELLS rows
+    top = max(found.values(), default=0)
+    return [max(found.get(i, 0) - max(top - 15, 0), 0) << 59 for i in range(CELLS)]
 
 
 def _tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
     """``keys``: the line's distinct tokens as longs, rarest first (4 bits of level, 59 bits of hash); ``bits``: 64 bits set by them."""
-    table = F.lit(levels).cast("array<bigint>")
+    # one constant: folded before the loop runs
+    table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
 
-    def key(h: Column) -> Column:
-        cell = F.pmod(h, F.lit(CELLS)).cast("int")
-        level = F.call_function("shiftright", F.get(table, F.call_function("shiftright", cell, F.lit(4))), (cell.bitwiseAND(15) * 4))
-        return F.shiftleft(level.bitwiseAND(15), 59).bitwiseOR(F.shiftrightunsigned(h, 5))
+    def key(h: Column) -> Column:  # the loop over all tokens: as few operations as possible
+        return table[h.bitwiseAND(CELLS - 1)].bitwiseOR(F.shiftrightunsigned(h, 5))
 
     def bit(so_far: Column, h: Column) -> Column:
         return so_far.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int")))
