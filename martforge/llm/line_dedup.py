@@ -14,7 +14,8 @@ are never removed.
 3. Prefix filter: similar lines share one of their first ``n - ceil(s n) + 1`` tokens.
    Length and positional filters, and a bound on the differing tokens from 64-bit
    signatures, prune the equi-join on those tokens.
-4. Surviving pairs are verified by the exact Jaccard similarity of their word sets.
+4. Surviving pairs are verified by the exact Jaccard similarity of their word sets: a line
+   with its earliest candidate first, with all others if that one fails.
 
 Rows that agree in ``doc_id`` and text are one document and get the same result; null
 texts have no line; rows with a null ``doc_id`` come after all others.  Extra columns
@@ -33,6 +34,7 @@ from martforge.llm.common import written
 CELLS = 1 << 15     # hash cells of the token counts: the only thing that reaches the driver
 WHITE = "\t\x0b\x0c\r"
 ID = ["doc", "version", "line_no"]  # a line's place: the total order that "earlier" means
+PAIR = [f"{s}_{c}" for s in "ab" for c in ID]
 
 
 def _text() -> Column:
@@ -92,8 +94,8 @@ def _tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
     return out.withColumns({"keys": F.sort_array(F.transform("__h", key)), "bits": F.aggregate("__h", F.lit(0).cast("long"), bit)}).drop("__h")
 
 
-def similar_pairs(firsts: DataFrame, levels: list[int], similarity: Fraction) -> DataFrame:
-    """Places ``(a_*, b_*)``, a before b, of class representatives whose Jaccard similarity reaches ``similarity``."""
+def candidate_pairs(firsts: DataFrame, levels: list[int], similarity: Fraction) -> DataFrame:
+    """Places ``(a_*, b_*)``, a before b, of the class representatives that pass every filter."""
     p, q = similarity.numerator, similarity.denominator
     keyed = _tokens(firsts, levels).withColumn("n", F.size("keys"))
     prefix = keyed.select(*ID, "n", "bits", F.posexplode(F.slice("keys", F.lit(1), F.expr(f"n - ((n * {p} + {q - 1}) div {q}) + 1").cast("int")))
@@ -106,28 +108,36 @@ def similar_pairs(firsts: DataFrame, levels: list[int], similarity: Fraction) ->
         f" AND least(a_n - a_at, b_n - b_at) * {p + q} >= (a_n + b_n) * {p}"
         # every bit that only one side sets stands for a token that only one side has
         f" AND bit_count(a_bits ^ b_bits) * {p + q} <= (a_n + b_n) * {q - p}")
-    names = [f"{s}_{c}" for s in "ab" for c in ID]
-    candidates = written(candidates.select(*names).distinct(), "line-pairs")
-    # lines travel as text, their words are cut where they are compared
+    return written(candidates.select(*PAIR).distinct(), "line-pairs")
+
+
+def similar_pairs(candidates: DataFrame, firsts: DataFrame, similarity: Fraction) -> DataFrame:
+    """The candidates whose Jaccard similarity reaches ``similarity``; lines travel as text, words are cut where they are compared."""
+    p, q = similarity.numerator, similarity.denominator
     for s in "ab":
         lines = firsts.select(*[F.col(c).alias(f"{s}_{c}") for c in ID], F.col("line").alias(f"{s}_line"))
         candidates = candidates.join(lines, [f"{s}_{c}" for c in ID])
     a, b = (F.array_distinct(_words(F.col(f"{s}_line"))) for s in "ab")
     common = F.size(F.array_intersect("a_words", "b_words"))
     total = F.size("a_words") + F.size("b_words")
-    compared = candidates.select(*names, a.alias("a_words"), b.alias("b_words")).select(
-        *names, (common * (p + q) >= total * p).alias("similar"), F.monotonically_increasing_id().alias("pair"))
+    compared = candidates.select(*PAIR, a.alias("a_words"), b.alias("b_words")).select(
+        *PAIR, (common * (p + q) >= total * p).alias("similar"), F.monotonically_increasing_id().alias("pair"))
     # reading the row number keeps the comparison in its projection: the words are cut once
-    return compared.where("similar AND pair >= 0").select(*names)
+    return compared.where("similar AND pair >= 0").select(*PAIR)
 
 
 def removed_lines(docs: DataFrame, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
     """``(doc, version, line_no)`` of every line that matches an earlier one."""
     lines = written(_classes(lines_of(docs)), "lines")
     firsts = lines.where("first").select(*ID, "line")
-    pairs = similar_pairs(firsts, _levels(firsts), similarity)
-    later = pairs.select(*[F.col(f"b_{c}").alias(c) for c in ID]).distinct()
-    return lines.where("NOT first").select(*ID).union(later)
+    pairs = candidate_pairs(firsts, _levels(firsts), similarity)
+    # one match is enough: each line meets its earliest candidate first, and the others only if that one fails
+    b = PAIR[len(ID):]
+    earliest = pairs.groupBy(*b).agg(F.min(F.struct(*PAIR[:len(ID)])).alias("a")).select("a.*", *b)
+    hit = written(similar_pairs(earliest, firsts, similarity).select(*b), "line-matches")
+    others = written(pairs.join(hit, b, "left_anti").select(*PAIR), "line-pairs-left")
+    late = hit.union(similar_pairs(others, firsts, similarity).select(*b)).distinct()
+    return lines.where("NOT first").select(*ID).union(late)
 
 
 def _per_document(docs: DataFrame, similarity: Fraction) -> DataFrame:
