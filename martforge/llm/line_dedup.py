@@ -63,11 +63,14 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def _classes(lines: DataFrame) -> DataFrame:
-    """Every line, with the text only on the first of its class of equal lines."""
+    """Every line, with the text only on the first of its class of equal lines; ``later``: its place comes after the first one's.
+
+    Repeated rows of a document give the same place: one of them is the first, and none of them is later.
+    """
     order = Window.partitionBy("h1", "h2").orderBy(*ID)
     ranked = (lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), F.col("line"))})
-              .withColumn("first", F.row_number().over(order) == 1))
-    return ranked.select(*ID, "first", F.when(F.col("first"), F.col("line")).alias("line"))
+              .withColumns({"first": F.row_number().over(order) == 1, "later": F.rank().over(order) > 1}))
+    return ranked.select(*ID, "first", "later", F.when(F.col("first"), F.col("line")).alias("line"))
 
 
 def _levels(lines: DataFrame) -> list[int]:
@@ -137,7 +140,7 @@ def removed_lines(docs: DataFrame, similarity: Fraction = Fraction(4, 5)) -> Dat
     hit = written(similar_pairs(earliest, firsts, similarity).select(*b), "line-matches")
     others = written(pairs.join(hit, b, "left_anti").select(*PAIR), "line-pairs-left")
     late = hit.union(similar_pairs(others, firsts, similarity).select(*b)).distinct()
-    return lines.where("NOT first").select(*ID).union(late)
+    return lines.where("later").select(*ID).union(late)
 
 
 def _per_document(docs: DataFrame, similarity: Fraction) -> DataFrame:

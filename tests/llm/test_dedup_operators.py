@@ -263,3 +263,17 @@ def test_line_dedup_texts(spark):
     assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {
         0: ("a b\nc d\n", 8), 1: ("new line", 8), 2: (None, None), 3: ("same", 4)}
     assert line_dedup.report(empty(spark)).count() == 0
+
+
+def test_line_dedup_keeps_the_lines_of_repeated_rows(spark):
+    import corpus_pipeline
+
+    # (7, "a b c") and the null id's text are there twice: the same document, not an earlier one
+    texts = ["a b c", "a b c", "d e f\ng h i", "d e f\ng h i", "a b c\nnew line"]
+    ids = [7, 7, None, None, 8]
+    docs = frame(spark, texts, ids)
+    got = line_dedup.report(docs).collect()
+    assert sorted(((r.doc_id, r.n_lines, r.n_removed, list(r.removed_lines)) for r in got), key=repr) == brute_lines(texts, ids, Fraction(4, 5))
+    want = sorted([(7, "a b c")] * 2 + [(None, "d e f\ng h i")] * 2 + [(8, "new line")], key=repr)
+    for out in (line_dedup.remove_matches(docs), corpus_pipeline.line_dedup_stage(spark, docs, "")):
+        assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == want
