@@ -5,9 +5,12 @@ document with a smaller ``doc_id``; windows are judged on the input.
 
 Anchored segments (see ``segments``) settle equal contents and leave the open ones: short
 byte strings that share an anchor with a different content.  Equal windows share their
-anchor, so the strings are dealt by it into buckets of a bounded size; the strings of an
-anchor with very many contents are cut into their windows and dealt by the windows' own
-hashes.  In every bucket the strings form shards.  Each shard is suffix-sorted by itself and
+anchor, so the strings are dealt by it into buckets of a bounded size.  The strings of an
+anchor with very many contents are cut into their windows.  Of every distinct window only
+its smallest and its greatest document go on, found with partial results per task, and are
+dealt by the window's own hash: however often a window occurs, a bucket holds it twice.
+The other occurrences of the windows that the merge finds repeated are joined back by the
+window.  In every bucket the strings form shards.  Each shard is suffix-sorted by itself and
 gives its Burrows-Wheeler transform.  The merge never sorts suffixes again: the interleave of
 the shards is refined once per byte of depth by a stable pass over the symbols before
 the suffixes.  Where two neighbours first part at depth h, their longest common prefix is
@@ -124,7 +127,8 @@ def repeated_windows(strings: list[bytes], doc: np.ndarray, length: int, n_shard
     return list(zip(string[late].tolist(), (places[late] - begins[string[late]]).tolist()))
 
 
-_CUT = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("version", pa.int64()), ("start", pa.int64()), ("text", pa.binary())])
+_CUT = pa.schema([("hot", pa.bool_()), ("key", pa.int64()), ("doc", pa.int64()), ("version", pa.int64()), ("start", pa.int64()), ("text", pa.binary())])
+_REPEATED = pa.schema([("key", pa.int64()), ("text", pa.binary()), ("least", pa.int64())])
 _FOUND = pa.schema([("doc", pa.int64()), ("version", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
 
 
@@ -138,14 +142,15 @@ def _cut(length: int):
                 for s in segs:
                     start, n = s["start"], s["n"]
                     piece = text[start:start + n + length - 1]
-                    if s["kind"] != OPEN_HOT:
+                    hot = s["kind"] == OPEN_HOT
+                    if not hot:
                         rows = [(s["anchor"], start, piece)]
                     else:
                         at = np.arange(n)
                         keys = Hashes(values[np.frombuffer(piece, dtype=np.uint8)]).of(at, at + length).view(np.int64).tolist()
                         rows = [(key, start + i, piece[i:i + length]) for i, key in enumerate(keys)]
                     for key, at, part in rows:
-                        for column, value in zip(out, (key, doc, version, at, part)):
+                        for column, value in zip(out, (hot, key, doc, version, at, part)):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, _CUT)], schema=_CUT)
     return run
@@ -167,6 +172,32 @@ def _merged(length: int):
     return run
 
 
+def _merged_windows(length: int):
+    """``(key, text, least)`` of the windows that the merge finds in a greater document, too."""
+    def run(t: pa.Table) -> pa.Table:
+        found = repeated_windows(t.column("text").to_pylist(), t.column("doc").to_numpy(), length)
+        return t.select(_REPEATED.names).take(pa.array([string for string, _ in found], type=pa.int64())).cast(_REPEATED)
+    return run
+
+
+def _buckets(size: int) -> int:
+    return max(1, -(-int(size) // BUCKET_BYTES))
+
+
+def hot_spans(windows: DataFrame, length: int) -> DataFrame:
+    """``(doc, version, start, n)`` of the windows ``(key, doc, version, start, text)`` that also start in a smaller document."""
+    # partial results per task: a window that a third of all documents hold is a few rows of the exchange
+    owners = windows.groupBy("key", "text").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    owners = written(owners, "suffix-owners")
+    buckets = _buckets(owners.count() * 2 * (length + 1))
+    two = owners.select("key", "text", "least", F.explode(F.array("least", "most")).alias("doc"))
+    repeated = two.withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket").applyInArrow(
+        lambda t: _merged_windows(length)(t), "key long, text binary, least long")
+    # one row of a window on the one side; a frequent window on the other is streamed, and a skewed part is split
+    later = windows.join(written(repeated, "suffix-repeated"), ["key", "text"]).where("doc > least")
+    return written(later.select("doc", "version", "start", F.lit(1).alias("n")), "suffix-hot-spans")
+
+
 def _bytes() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
 
@@ -177,14 +208,18 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 24) -> DataFra
     values = byte_values()
     segs = decided(texts, lambda t: values[np.frombuffer(t, dtype=np.uint8)], length, gram, within=False)
     todo = segs.where(f"kind <> {REMOVED}")
-    size = todo.agg(F.sum(F.col("n") + F.lit(length - 1))).first()[0] or 0
-    buckets = max(1, -(-int(size) // BUCKET_BYTES))
+    size = F.col("n") + F.lit(length - 1)
+    cold, hot = todo.agg(F.sum(F.when(F.col("kind") != OPEN_HOT, size)), F.sum(F.when(F.col("kind") == OPEN_HOT, size))).first()
     lists = todo.groupBy("doc", "version").agg(F.collect_set(F.struct("start", "n", "anchor", "kind")).alias("segs"))
     cut = texts.join(lists, ["doc", "version"]).select("doc", "version", "text", "segs").mapInArrow(
-        _cut(length), "key long, doc long, version long, start long, text binary")
-    found = cut.withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket").applyInArrow(
+        _cut(length), "hot boolean, key long, doc long, version long, start long, text binary")
+    if hot:  # read more than once
+        cut = written(cut, "suffix-cut")
+    found = cut.where("NOT hot").withColumn("bucket", F.pmod("key", F.lit(_buckets(cold or 0)))).groupBy("bucket").applyInArrow(
         lambda t: _merged(length)(t), "doc long, version long, start long, n int")
     found = written(found, "suffix-spans")
+    if hot:
+        found = found.union(hot_spans(cut.where("hot").drop("hot"), length))
     return written(packed(segs.where(f"kind = {REMOVED}").select("doc", "version", "start", "n").union(found)), "spans")
 
 

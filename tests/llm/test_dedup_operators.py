@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -133,6 +134,29 @@ def test_suffix_dedup(spark, case, hot, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == brute_bytes(texts, ids, 20)
 
 
+def test_suffix_dedup_a_frequent_window_does_not_fill_a_bucket(spark, monkeypatch):
+    from martforge.llm import segments as module
+    monkeypatch.setattr(module, "HOT", 1)
+
+    def checked(merged):
+        def of(length):
+            def run(t):  # the passage is there 300 times, but a task meets each of its windows at most twice
+                assert max(Counter(t.column("text").to_pylist()).values()) <= 2
+                return merged(length)(t)
+            return run
+        return of
+
+    for name in [n for n in dir(suffix) if n.startswith("_merged")]:
+        monkeypatch.setattr(suffix, name, checked(getattr(suffix, name)))
+    r = random.Random(12)
+    passage = "".join(r.choice("abcdefgh") for _ in range(45))
+    around = lambda: "".join(r.choice("ijklmnop") for _ in range(12))
+    texts = [around() + passage + around() for _ in range(300)]
+    ids = [i // 2 if i < 20 else None if i % 50 == 0 else i for i in range(300)]
+    got = suffix.report(frame(spark, texts, ids), length=20, gram=8).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_bytes(texts, ids, 20)
+
+
 def test_suffix_dedup_texts_and_empty_table(spark):
     texts = ["é" * 30 + "abc", "é" * 30 + "xyz", None]
     out = {r.doc_id: r for r in suffix.remove_repeats(frame(spark, texts), length=50, gram=24).collect()}
