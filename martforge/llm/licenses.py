@@ -2,8 +2,8 @@
 
 *Training.*  Paragraph templates of every family and changed versions of them (words
 dropped, in several ways) are the positive rows; a bounded sample of lines of the
-corpus (``negatives`` of them, labelled unknown unless they hold most of a template)
-are the negative ones.  Features are word 1-grams and 2-grams of the templates that
+corpus (``negatives`` of them, labelled unknown unless they hold most of a template or
+are a part of one) are the negative ones.  Features are word 1-grams and 2-grams of the templates that
 hold at least one word that is rare among the negatives.  A multinomial logistic
 regression with an L1 share keeps the weights sparse.  Half of the rows calibrate it:
 a temperature is chosen by their log-loss.  The model and its vocabulary have a fixed
@@ -17,6 +17,13 @@ at the calibrated temperature gives the family, or unknown.
 *Confirmation.*  A predicted family stands if the paragraph holds at least ``contained``
 of the words of one of its templates.
 
+*Wrapped paragraphs.*  Runs of neighbouring non-blank lines, without comment marks, are
+scanned as well, in overlapping word windows of several sizes: however the lines are
+broken, a template's words lie within one window of about its size.  Of a window's
+template the neighbouring words must agree, too (``paired``), so that words scattered
+over prose do not count.  A run counts once for every family that none of its lines has
+by itself.
+
 Null texts have no paragraph; rows that agree in ``doc_id`` and text give the same
 result each; an empty table gives an empty result.  Extra columns are ignored.
 """
@@ -83,16 +90,24 @@ STOP_WORDS = ("a an and any are as at be but by can for form found from in inclu
               "person project provided that the these this to use used with without work you 0 2 3 4").split()
 
 
+MARKS = r"(?m)^[ \t]*(?://+!?|/?\*+/?|#+|--+|;+|%+|<!--|>+)?[ \t\r]*"  # what a comment puts before its lines
+# windows overlap by half: one of them holds a statement of up to half its size whole
+SIZES = [16 << i for i in range(max(len(t.split()) for texts in TEMPLATES.values() for t in texts).bit_length() - 2)]
+
+
 def words(text: Column) -> Column:
     """Lower-case words of ASCII letters, digits and inner hyphens."""
     return F.array_remove(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9-]+", " "), " "), "")
 
 
+def pairs(own: Column) -> Column:
+    """The 2-grams of a list of words."""
+    return F.transform(F.slice(own, F.lit(1), F.greatest(F.size(own) - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", w, F.get(own, i + 1)))
+
+
 def with_grams(df: DataFrame) -> DataFrame:
     """Adds ``grams``: the distinct 1-grams and 2-grams of ``words``."""
-    pairs = F.transform(F.slice("words", F.lit(1), F.greatest(F.size("words") - 1, F.lit(0))),
-                        lambda w, i: F.concat_ws(" ", w, F.get(F.col("words"), i + 1)))
-    return df.withColumn("grams", F.array_distinct(F.concat("words", pairs)))
+    return df.withColumn("grams", F.array_distinct(F.concat("words", pairs(F.col("words")))))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
@@ -102,6 +117,14 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return base.select("doc_id", "version", F.posexplode(F.split("body", "\n")).alias("at", "text")).where("trim(text) <> ''")
 
 
+def runs(docs: DataFrame) -> DataFrame:
+    """``(doc_id, version, run, text)``: every run of two or more non-blank lines, without comment marks."""
+    body = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(body).alias("version"), F.regexp_replace(body, MARKS, "").alias("body"))
+    cut = base.select("doc_id", "version", F.posexplode(F.split("body", r"\n(?:\s*\n)+")).alias("run", "text"))
+    return cut.withColumn("text", F.trim(F.col("text"), F.lit(" \t\r\n"))).where(F.contains("text", F.lit("\n")))
+
+
 def _template_rows(spark: SparkSession) -> DataFrame:
     """``(label, text)`` of the templates; text is reduced to what ``words`` keeps."""
     values = ", ".join(f"({CLASSES.index(family)}, '{text}')" for family, texts in sorted(TEMPLATES.items()) for text in texts)
@@ -118,6 +141,10 @@ def training_rows(spark: SparkSession, docs: DataFrame, negatives: int, versions
     known = [r["words"] for r in templates.select("words").collect()]
     sample = paragraphs(docs.limit(negatives)).limit(negatives).select(words(F.col("text")).alias("words"), F.xxhash64("text", F.lit(seed)).alias("h"))
     clean = sample.where(" AND ".join(f"size(array_intersect(words, array({', '.join(map(repr, t))}))) * 2 < {len(set(t))}" for t in known))
+    # nor is a line of a wrapped template unknown: most of its 2-grams, or its only word, are a template's
+    parts = F.array(*[F.lit(g) for g in sorted({g for t in known for g in [*t, *map(" ".join, zip(t, t[1:]))]})])
+    own = F.array_distinct(F.when(F.size("words") > 1, pairs(F.col("words"))).otherwise(F.col("words")))
+    clean = clean.where((F.size(own) == 0) | (F.size(F.array_intersect(own, parts)) * 2 < F.size(own)))
     return positive.unionByName(clean.select(F.lit(0).alias("label"), "words", F.pmod("h", F.lit(2)).cast("int").alias("fold")))
 
 
@@ -167,30 +194,81 @@ def scores(spark: SparkSession, keyed: DataFrame, keys: list[str], model: Model)
     return sums.select(*keys, F.array(*[F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.lit(b) for i, b in enumerate(model.intercepts)]).alias("score"))
 
 
-def found(docs: DataFrame, model: Model, contained: float = 0.8, least: float = 0.5) -> DataFrame:
-    """``(doc_id, version, at, family, probability)`` of every confirmed licence paragraph."""
-    spark = docs.sparkSession
-    keys = ["doc_id", "version", "at"]
-    lines = paragraphs(docs).select(*keys, words(F.col("text")).alias("words"))
-    lines = written(lines.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in model.rare]))), "licence-lines")
-    scored = scores(spark, with_grams(lines.distinct()), [*keys, "words"], model)
+def _confirmed(texts: DataFrame, keys: list[str], model: Model, contained: float, least: float, paired: float = 0.0) -> DataFrame:
+    """``(*keys, words, family, probability)`` of the texts, given by ``words``, whose predicted family stands."""
+    scored = scores(texts.sparkSession, with_grams(texts.select(*keys, "words").distinct()), [*keys, "words"], model)
     total = _log_sum(model.temperature)
     top = F.array_max("score")
     predicted = scored.select(*keys, "words", (F.array_position("score", top) - 1).cast("int").alias("label"),
                               F.exp(top / model.temperature - total).alias("probability")).where((F.col("label") > 0) & (F.col("probability") >= least))
+
+    def holds(have: Column, own: Column, share: float) -> Column:
+        return F.size(F.array_intersect(have, F.array_distinct(own))) >= share * F.size(F.array_distinct(own))
+
     same = F.lit(False)
-    for family, texts in TEMPLATES.items():
-        for text in texts:
-            own = F.array_distinct(words(F.lit(text)))
-            same = same | ((F.col("label") == CLASSES.index(family)) & (F.size(F.array_intersect("words", own)) >= contained * F.size(own)))
+    for family, templates in TEMPLATES.items():
+        for template in templates:
+            own = words(F.lit(template))
+            stands = (F.col("label") == CLASSES.index(family)) & holds(F.col("words"), own, contained)
+            same = same | (stands & holds(pairs(F.col("words")), pairs(own), paired) if paired else stands)
     names = F.array(*[F.lit(c) for c in CLASSES])
-    return predicted.where(same).select(*keys, F.get(names, F.col("label")).alias("family"), "probability")
+    return predicted.where(same).select(*keys, "words", F.get(names, F.col("label")).alias("family"), "probability")
+
+
+def _rare(model: Model) -> Column:
+    return F.arrays_overlap("words", F.array(*[F.lit(w) for w in model.rare]))
+
+
+def _line_hits(docs: DataFrame, model: Model, contained: float, least: float) -> DataFrame:
+    keys = ["doc_id", "version", "at"]
+    lines = paragraphs(docs).select(*keys, words(F.col("text")).alias("words"))
+    return _confirmed(written(lines.where(_rare(model)), "licence-lines"), keys, model, contained, least)
+
+
+def found(docs: DataFrame, model: Model, contained: float = 0.8, least: float = 0.5) -> DataFrame:
+    """``(doc_id, version, at, family, probability)`` of every line that is a confirmed licence paragraph by itself."""
+    return _line_hits(docs, model, contained, least).drop("words")
+
+
+def _same_line(own: Column) -> Column:
+    """A line's words without what only a comment mark can leave."""
+    return F.array_join(F.filter(own, lambda w: w.rlike("[a-z0-9]")), " ")
+
+
+def wrapped(docs: DataFrame, hits: DataFrame, model: Model, contained: float = 0.8, least: float = 0.5, paired: float = 0.6) -> DataFrame:
+    """``(doc_id, version, run, family)`` of the licences that stand in a run of lines and in none of them alone; ``hits``: the lines' own."""
+    keys = ["doc_id", "version", "run"]
+    whole = F.regexp_replace("text", r"(?<=[A-Za-z])-\n", "-")  # a word broken at its hyphen
+    kept = written(runs(docs).withColumn("words", words(whole)).where(_rare(model)), "licence-runs")
+    def windows(size: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(size // 2)), lambda i: F.slice("words", i + 1, F.lit(size)))
+
+    cut = written(kept.select(*keys, F.explode(F.concat(*map(windows, SIZES))).alias("words")).where(_rare(model)), "licence-windows")
+    stands = written(_confirmed(cut, keys, model, contained, least, paired).select(*keys, "family").distinct(), "licence-wrapped")
+    # lines that tell the family by themselves are counted already
+    lines = stands.alias("s").join(kept.select(*keys, "text").distinct().alias("k"), _equal("s", "k", keys)).select(
+        "s.*", F.explode(F.split("k.text", "\n")).alias("line")).select(*keys, "family", _same_line(words(F.col("line"))).alias("line"))
+    own = hits.select("doc_id", "version", "family", _same_line(F.col("words")).alias("line")).distinct()
+    told = lines.alias("l").join(own.alias("o"), _equal("l", "o", ["doc_id", "version", "family", "line"]), "left_semi")
+    return stands.alias("s").join(told.alias("t"), _equal("s", "t", [*keys, "family"]), "left_anti")
+
+
+def _equal(a: str, b: str, columns: list[str]) -> Column:
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return same
 
 
 def report(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """``(doc_id, n_paragraphs, n_license_paragraphs, families)`` per row; families in alphabetical order, comma-separated."""
+    """``(doc_id, n_paragraphs, n_license_paragraphs, families)`` per row; families in alphabetical order, comma-separated.
+
+    Paragraphs are non-blank lines; licence paragraphs are such lines, and runs of lines that hold a wrapped licence.
+    """
     model = model or train(docs.sparkSession, docs)
-    hits = found(docs, model).groupBy(F.col("doc_id").alias("__d"), F.col("version").alias("__v")).agg(
+    single = written(_line_hits(docs, model, 0.8, 0.5), "licence-hits")
+    both = single.select("doc_id", "version", "family").union(wrapped(docs, single, model).select("doc_id", "version", "family"))
+    hits = both.groupBy(F.col("doc_id").alias("__d"), F.col("version").alias("__v")).agg(
         F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set("family")), ",").alias("families"))
     body = F.coalesce(docs["text"].cast("string"), F.lit(""))
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(body).alias("__version"),

@@ -212,6 +212,34 @@ def test_licence_scan_held_out_accuracy(spark):
     assert licenses.report(empty(spark), licenses.train(spark, docs)).count() == 0
 
 
+def test_licence_scan_finds_wrapped_paragraphs(spark):
+    import textwrap
+
+    r = random.Random(5)
+    words = [f"wort{i}" for i in range(200)] + ["the", "of", "and", "software", "version", "license", "free"]
+    prose = lambda: " ".join(r.choice(words) for _ in range(r.randint(5, 25)))
+    texts, want = [], []
+    for i in range(200):
+        family = r.choice(sorted(licenses.TEMPLATES))
+        statement = r.choice([t for t in licenses.TEMPLATES[family] if len(t) > 80] or licenses.TEMPLATES[family])
+        lines = textwrap.wrap(statement, r.randint(60, 80))
+        if i % 4 == 1:
+            lines = [r.choice(["# ", " * ", "// ", "-- "]) + x for x in lines]
+        around = [prose(), prose()]
+        texts.append("\n".join([around[0], *([""] if i % 2 else []), *lines, *([""] if i % 2 else []), around[1]]))
+        want.append(family)
+    texts += ["\n".join(prose() for _ in range(8)) for _ in range(100)]
+    texts.append("Released under the MIT License.\nPermission is hereby granted, free of charge, to any person obtaining a copy of\n"
+                 "this software and associated documentation files, to deal in the Software\nwithout restriction.")
+    want += [""] * 100 + ["MIT"]
+    docs = frame(spark, texts)
+    got = {x.doc_id: x for x in licenses.report(docs).collect()}
+    wrong = [(texts[i], got[i], w) for i, w in enumerate(want) if got[i].families != w]
+    assert len(wrong) <= 0.03 * len(want), wrong[:3]
+    assert all(got[i].families == "" for i, w in enumerate(want) if not w)
+    assert all(got[i].n_license_paragraphs == 1 for i, w in enumerate(want) if got[i].families == w != "")
+
+
 # --- pipeline -------------------------------------------------------------------------------------------------
 def test_pipeline_stages_and_rows(spark, tmp_path):
     import corpus_pipeline
