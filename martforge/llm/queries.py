@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import bpe_count, debruijn, licenses, line_dedup, packing, quality, sentencepiece_codec, simhash, suffix, vafile
+from martforge.llm import (bpe_count, debruijn, licenses, line_dedup, packing, phrases, quality, resampling, sentencepiece_codec, simhash, suffix,
+                           token_store, vafile)
 from martforge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +67,18 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.codec_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
