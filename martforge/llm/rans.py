@@ -24,46 +24,36 @@ _CHECKPOINTS = 4
 
 
 class Table:
-    """Frequencies scaled to a power of two; every symbol that occurs keeps at least one slot."""
+    """Frequencies that sum to a power of two (or to nothing, for an empty corpus)."""
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, freq: np.ndarray):
+        self.freq = np.asarray(freq, dtype=np.uint64)
+        total = int(self.freq.sum())
+        if total & (total - 1):
+            raise ValueError("frequencies do not sum to a power of two")
+        self.bits = max(total, 1).bit_length() - 1
+        self.start = np.cumsum(self.freq, dtype=np.uint64) - self.freq
+        self.symbol = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+        self.checksum = zlib.crc32(np.trim_zeros(self.freq, "b").astype("<u8").tobytes())
+
+    @classmethod
+    def of_counts(cls, counts: np.ndarray) -> Table:
+        """Counts scaled to a power of two; every symbol that occurs keeps at least one slot."""
         counts = np.asarray(counts, dtype=np.int64)
+        freq = np.zeros(len(counts), dtype=np.int64)
         seen = np.flatnonzero(counts)
-        self.bits = max(16, int(max(len(seen), 1)).bit_length() + 3)
-        slots = 1 << self.bits
-        self.freq = np.zeros(len(counts), dtype=np.uint64)
         if len(seen):
-            share = counts[seen] / counts[seen].sum()
-            got = np.maximum(1, np.floor(share * slots)).astype(np.int64)
-            spare = slots - int(got.sum())
-            by_size = np.argsort(-got, kind="stable")
+            slots = 1 << max(16, len(seen).bit_length() + 3)
+            freq[seen] = np.maximum(1, np.floor(counts[seen] / counts[seen].sum() * slots)).astype(np.int64)
+            spare = slots - int(freq.sum())
             if spare >= 0:
-                got[by_size[0]] += spare
-            else:  # the rare symbols' single slots come from the frequent ones
-                for i in by_size:
-                    take = min(int(got[i]) - 1, -spare, max(1, int(got[i]) // 2))
-                    got[i] -= take
-                    spare += take
-                    if not spare:
-                        break
-            self.freq[seen] = got
-        self.start = np.concatenate(([0], np.cumsum(self.freq[:-1]))).astype(np.uint64) if len(counts) else self.freq
-        self.symbol = np.repeat(np.arange(len(counts), dtype=np.uint32), self.freq.astype(np.int64))
-        self.checksum = zlib.crc32(self.freq.astype("<u8").tobytes())
-
-    @classmethod
-    def of_frequencies(cls, freq: np.ndarray) -> Table:
-        """The table that was stored: its frequencies are taken as they are."""
-        table = cls(np.zeros(0, dtype=np.int64))
-        table.freq = np.asarray(freq, dtype=np.uint64)
-        total = int(table.freq.sum())
-        if total & (total - 1):
-            raise ValueError("frequencies do not sum to a power of two")
-        table.bits = max(total, 1).bit_length() - 1
-        table.start = np.concatenate(([0], np.cumsum(table.freq[:-1]))).astype(np.uint64)
-        table.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), table.freq.astype(np.int64))
-        table.checksum = zlib.crc32(table.freq.astype("<u8").tobytes())
-        return table
+                freq[np.argmax(freq)] += spare
+            while spare < 0:  # the rare symbols' single slots come from the most frequent one
+                top = int(np.argmax(freq))
+                take = min(-spare, int(freq[top]) // 2)
+                freq[top] -= take
+                spare += take
+        return cls(freq)
 
 
 def encode(symbols: np.ndarray, table: Table) -> bytes:

@@ -119,7 +119,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, bloc
     spark = docs.sparkSession
     table = written(tokens(docs, tokenizer_path, end_id), "token-ids")
     size = max(tokenizer(tokenizer_path).size, end_id + 1)
-    freq = rans.Table(tally.total(table, size)).freq
+    freq = rans.Table.of_counts(tally.total(table, size)).freq
     seen = np.flatnonzero(freq)
     rows = list(zip(seen.tolist(), freq[seen].tolist()))  # as many as the vocabulary has
     spark.createDataFrame(rows, "id int, freq long").coalesce(1).write.parquet(f"{path}/frequencies")
@@ -128,7 +128,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, bloc
                         ("n_documents", pa.int32()), ("first_document", pa.int64()), ("documents", pa.binary()), ("ids", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _Blocks(rans.Table.of_frequencies(freq), block_ids, TaskContext.get().partitionId())
+        blocks = _Blocks(rans.Table(freq), block_ids, TaskContext.get().partitionId())
 
         def out(row: tuple) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, schema)], schema=schema)
@@ -172,7 +172,7 @@ def read_parts(spark: SparkSession, path: str, with_ids: bool = True) -> DataFra
     schema = pa.schema(names)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = rans.Table.of_frequencies(freq)
+        table = rans.Table(freq)
         for b in batches:
             for shard, first, first_document, documents, raw in zip(*(b.column(n) for n in ("shard", "first", "first_document", "documents", "ids"))):
                 index = _index(documents.as_py())
