@@ -19,7 +19,7 @@ _LOW = 31                        # states stay in [2**31, 2**63)
 _HEADER = struct.Struct("<4sIQIIIQ")   # magic, table checksum, symbols, lanes, steps between checkpoints, checkpoints, words
 _MAGIC = b"RTB1"
 _STEPS = 512                     # a lane holds about so many symbols
-_LANES = 1024
+_LANES = 2048
 _CHECKPOINTS = 4
 
 

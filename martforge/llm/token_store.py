@@ -43,7 +43,7 @@ from martforge.llm.common import shuffle_partitions, small_batches, text_bytes,
 from martforge.llm.word_tokens import tokenizer
 from martforge.session import checkpoint_root
 
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 20
 _TOKENS = "doc_id long, task int, nth long, crc long, ids binary, tally binary"
 _BLOCKS = "shard int, block int, first long, n_ids long, n_documents int, first_document long, documents binary, ids binary"
 _INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("more", "u1"), ("n", "<u8")])
@@ -51,7 +51,7 @@ _INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("more", "u1"), ("n", "<u8
 
 def tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
     """One row per document with its ids (the end id last), and one row of counts per task (``tally``)."""
-    small_batches(docs.sparkSession, 2000)
+    small_batches(docs.sparkSession, 3000)
     schema = pa.schema([("doc_id", pa.int64()), ("task", pa.int32()), ("nth", pa.int64()), ("crc", pa.int64()),
                         ("ids", pa.binary()), ("tally", pa.binary())])
 
@@ -185,7 +185,7 @@ def read_parts(spark: SparkSession, path: str, with_ids: bool = True) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(a, type=f.type) for a, f in zip(arrays, schema)], schema=schema)
 
     kinds = {"int32": "int", "int64": "long", "binary": "binary"}
-    small_batches(spark, 64)
+    small_batches(spark, 16)
     return _blocks(spark, path).mapInArrow(decode, ", ".join(f"{n} {kinds[str(t)]}" for n, t in names))
 
 
