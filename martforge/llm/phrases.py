@@ -37,9 +37,9 @@ from martforge.llm.transducers import MAX_WORDS, Grams, Transducer, counted, cut
 SAMPLE_DOCS = 4000        # documents whose n-grams may set the ranges' bounds
 _SAMPLE_PER_RANGE = 20    # sampled n-grams per range
 _RANGES_PER_PARTITION = 4
-_BUFFER = 16 << 20        # bytes of a language counted at a time
-_HELD = 32 << 20          # bytes held for all languages of a task
-_PENDING = 4_000_000      # n-grams loaded before they are united
+_BUFFER = 8 << 20        # bytes of a language counted at a time
+_HELD = 16 << 20          # bytes held for all languages of a task
+_PENDING = 1_500_000      # n-grams loaded before they are united
 
 _WORD, _BLANK, _BREAK = range(3)
 _FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
