@@ -62,7 +62,7 @@ def encode(symbols: np.ndarray, table: Table) -> bytes:
     lanes = min(_LANES, max(1, n // _STEPS))
     steps = -(-n // lanes)
     every = max(1, -(-steps // _CHECKPOINTS))
-    if n and not table.freq[symbols].all():
+    if n and (int(symbols.max()) >= len(table.freq) or not table.freq[symbols].all()):
         raise ValueError("a symbol is missing from the frequency table")
     state = np.full(lanes, 1 << _LOW, dtype=np.uint64)
     freq, start = table.freq[symbols], table.start[symbols]

@@ -57,7 +57,7 @@ def batch_features(texts: list[bytes], buckets: int, order: int) -> tuple[np.nda
     is_word = np.ones(len(words), dtype=bool)
     is_word[ends] = False
     space = np.full(1, zlib.crc32(b" "), dtype=np.uint32)
-    features, owners = [(check[is_word] % np.uint32(buckets)).astype(np.uint32)], [document[is_word]]
+    features, owners = [(check[is_word] % np.uint64(buckets)).astype(np.uint32)], [document[is_word]]
     gram = check
     for n in range(2, order + 1):
         # a run of n words starts at i and lies within one document
@@ -65,7 +65,7 @@ def batch_features(texts: list[bytes], buckets: int, order: int) -> tuple[np.nda
         whole = (document[:stop] == document[n - 1:n - 1 + stop]) & is_word[n - 1:n - 1 + stop]
         head = crc.joined(gram[:stop], np.broadcast_to(space, stop), np.ones(stop, dtype=np.int64))
         gram = crc.joined(head, check[n - 1:n - 1 + stop], length[n - 1:n - 1 + stop])
-        features.append((gram[whole] % np.uint32(buckets)).astype(np.uint32))
+        features.append((gram[whole] % np.uint64(buckets)).astype(np.uint32))
         owners.append(document[:stop][whole])
     owner = np.concatenate(owners)
     by_document = np.argsort(owner, kind="stable")
