@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge import schemas as S
-from martforge.operators import checks, quality
+from martforge.operators import checks, contracts, quality
 from martforge.operators.dedup import dedup_latest
 from martforge.operators.joins import asof_window_join
 from martforge.operators.ranking import ntile_distributed
@@ -223,6 +223,24 @@ def chk_row(spark, sf):
     return checks.union_reports([checks.row_rule(t[n], rule, n) for n, c in S.STAGING_CONTRACTS.items() for rule in c.get("row", ())])
 
 
+@query
+def chk_marts_contract(spark, sf):
+    """The report of the build: row rules as counted by the writes, keys and references on the written marts."""
+    return warehouse(spark, sf)["checks.marts"]
+
+
+@query
+def chk_marts_planted(spark, sf):
+    """The same contract on marts with planted bad rows; the row rules are counted while the tables are written."""
+    store = TableStore(spark)
+    base = f"planted-{spark.sparkContext.applicationId}-{abs(hash(sf))}"
+    written, counts = {}, []
+    for table, df in fixtures.planted_marts(_marts(spark, sf)).items():
+        _, written[table], found = contracts.write_observed(store, f"{base}.{table}", df, table, S.MART_CONTRACTS[table])
+        counts += found
+    return contracts.report_frame(spark, counts).unionByName(contracts.key_report(written, S.MART_CONTRACTS))
+
+
 # --- dimensions ----------------------------------------------------------------------
 @query
 def dim_date_bounds(spark, sf):

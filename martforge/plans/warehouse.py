@@ -1,4 +1,8 @@
-"""End-to-end pipeline: land -> stage -> dims -> facts -> gate -> publish.
+"""End-to-end pipeline: land -> stage -> dims -> facts -> contract and gate -> publish.
+
+The row rules of the marts are counted by the writes themselves, their keys and references
+on the written versions (``operators.contracts``); a build that breaks a rule or a
+data-quality check publishes nothing.  A good one publishes all marts by one log entry.
 
 Two runs are applied to the driver's tables (see ``sources.fixtures``): the
 first creates every dimension, the second brings a customer snapshot with
@@ -26,18 +30,22 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from martforge import schemas as S
+from martforge.operators import contracts
 from martforge.operators.quality import dq_enforce, dq_report
 from martforge.plans import dims, facts, staging
 from martforge.sources import fixtures
 from martforge.sources.store import TableStore
 
 MAX_CONCURRENT_JOBS = 4
+RELEASE = "warehouse"
 
 
 @dataclass
 class Warehouse:
     """Materialised tables of one pipeline build, by layer-qualified name."""
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    versions: dict[str, str] = field(default_factory=dict)   # of the published marts, by table name in the store
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -64,15 +72,26 @@ def build_from_feeds(spark: SparkSession, runs: list[tuple[dict[str, DataFrame],
 
     Dimensions accumulate across runs (insert-if-absent, SCD1 upsert, SCD2);
     staging and facts are full refreshes of the last run.  With ``gate`` (the
-    default) the data-quality suite must pass before the build is returned and
-    its manifest is written: a failing build is never reused or published.
+    default) the marts' contract and the data-quality suite must hold before the
+    build is published and returned: a failing build is never reused or published.
     """
     store = store or TableStore(spark)
+    w = Warehouse()
+    observed: dict[str, list[contracts.Violations]] = {}
 
     def keep(name: str, df: DataFrame) -> Callable[[], DataFrame]:
-        return (lambda: store.materialize(name, df)) if materialize else (lambda: df)
+        layer, table = name.rsplit(".", 2)[-2:]
+        if not materialize:
+            return lambda: df
+        if layer != "marts":
+            return lambda: store.materialize(name, df)
+
+        def write() -> DataFrame:
+            version, written, observed[table] = contracts.write_observed(store, name, df, table, S.MART_CONTRACTS[table])
+            w.versions[name] = version
+            return written
+        return write
 
-    w = Warehouse()
     d_date = dims.empty(spark, dims.DIM_DATE_SCHEMA)
     d_geo = dims.empty(spark, dims.DIM_GEOGRAPHY_SCHEMA)
     d_cust = dims.empty(spark, dims.DIM_CUSTOMER_SCHEMA)
@@ -125,11 +144,27 @@ def build_from_feeds(spark: SparkSession, runs: list[tuple[dict[str, DataFrame],
     })
     w.tables["marts.fact_orders"] = done["fact_orders"]
     w.tables["marts.fact_sessions"] = done["fact_sessions"]
-    if gate:
+    if materialize:
+        enforce_and_publish(spark, store, w, observed, gate)
+    elif gate:
         dq_enforce(dq_report(w["marts.fact_orders"], d_cust, d_prod))
     return w
 
 
+def enforce_and_publish(spark: SparkSession, store: TableStore, w: Warehouse, observed: dict[str, list[contracts.Violations]], gate: bool = True) -> None:
+    """Check the written marts; publish them, with their contract report, as one release."""
+    marts = {t: w[f"marts.{t}"] for t in S.MART_CONTRACTS}
+    counts = [v for t in S.MART_CONTRACTS for v in observed[t]]
+    counts += [contracts.Violations(*r) for r in contracts.key_report(marts, S.MART_CONTRACTS).collect()]  # one row per rule
+    if gate:
+        if contracts.broken(counts):
+            raise contracts.ContractError(contracts.broken(counts))
+        dq_enforce(dq_report(marts["fact_orders"], marts["dim_customer"], marts["dim_product"]))
+    w.tables["checks.marts"] = store.materialize("checks.marts", contracts.report_frame(spark, counts).coalesce(1))
+    last = {name.rsplit(".", 1)[-1]: name for name in w.versions}   # of a dimension the last run's table
+    store.publish_release(RELEASE, {name: w.versions[name] for name in last.values()})
+
+
 def fixture_runs(spark: SparkSession, sf_dir: str, store: TableStore | None = None) -> list[tuple[dict[str, DataFrame], str]]:
     """The two loads of the fixture, landed: the raw feeds are written once as
     the raw layer (all text + load time) and every later step reads them.

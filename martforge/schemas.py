@@ -117,3 +117,43 @@ STAGING_CONTRACTS = {
         "foreign_keys": [(("customer_id",), "customers", ("customer_id",))],
     },
 }
+
+# Contracts of the marts: keys and references need a pass over the written tables, everything else is counted while writing.
+MART_CONTRACTS = {
+    "dim_date": {
+        "unique": [("date_key",), ("full_date",)],
+        "not_null": ("date_key", "full_date", "day_of_week", "day_name", "is_weekend", "day_of_month", "month", "month_name",
+                     "quarter", "year", "iso_week", "is_holiday_us"),
+    },
+    "dim_geography": {"unique": [("geography_key",), ("country", "region", "city")], "not_null": ("geography_key", "country")},
+    "dim_customer": {
+        "unique": [("customer_key",), ("customer_id", "effective_from")],
+        "not_null": ("customer_key", "customer_id", "email", "signup_date_key", "geography_key", "marketing_optin",
+                     "effective_from", "effective_to", "is_current"),
+        "row": ("effective_from <= effective_to",),
+        "foreign_keys": [(("signup_date_key",), "dim_date", ("date_key",)), (("geography_key",), "dim_geography", ("geography_key",))],
+    },
+    "dim_product": {
+        "unique": [("product_key",), ("product_id",), ("sku",)],
+        "not_null": ("product_key", "product_id", "sku", "name", "current_unit_price", "current_list_price", "is_active"),
+        "range": {"current_unit_price": ">= 0", "current_list_price": ">= 0"},
+    },
+    "fact_orders": {
+        "unique": [("order_id", "line_no")],
+        "not_null": ("order_id", "line_no", "order_date_key", "customer_key", "product_key", "quantity", "unit_price", "gross_revenue",
+                     "discount_amount", "net_revenue", "shipping_cost", "status", "channel"),
+        "range": {"quantity": "> 0", "unit_price": ">= 0"},
+        "domain": {"status": ORDER_STATUSES, "channel": CHANNELS},
+        "row": ("net_revenue = gross_revenue - discount_amount",),
+        "foreign_keys": [(("order_date_key",), "dim_date", ("date_key",)), (("customer_key",), "dim_customer", ("customer_key",)),
+                         (("product_key",), "dim_product", ("product_key",))],
+    },
+    "fact_sessions": {
+        "unique": [("session_id",)],
+        "not_null": ("session_id", "session_date_key", "started_ts", "ended_ts", "duration_seconds", "pages_viewed", "added_to_cart",
+                     "reached_checkout", "purchased"),
+        "range": {"pages_viewed": ">= 0"},
+        "row": ("ended_ts >= started_ts",),
+        "foreign_keys": [(("session_date_key",), "dim_date", ("date_key",)), (("customer_key",), "dim_customer", ("customer_key",))],
+    },
+}

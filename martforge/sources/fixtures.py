@@ -166,3 +166,40 @@ def raw_feeds(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> dict[str,
     for name, df in feeds.items():
         assert tuple(df.columns) == S.RAW_COLUMNS[name] + ("loaded_at",), name
     return feeds
+
+
+def planted_marts(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The marts with bad rows planted by rules over their natural keys: every rule of the contract is broken somewhere."""
+    def every(n: int, key: str) -> Column:
+        return F.col(key) % n == 0
+
+    def blank(df: DataFrame, column: str, where: Column) -> DataFrame:
+        return df.withColumn(column, F.when(~where, F.col(column)))
+
+    def replaced(df: DataFrame, column: str, value, where: Column) -> DataFrame:
+        kind = df.schema[column].dataType
+        return df.withColumn(column, F.when(where, (value if isinstance(value, Column) else F.lit(value)).cast(kind)).otherwise(F.col(column)))
+
+    def twice(df: DataFrame, where: Column) -> DataFrame:
+        return df.withColumn("__copy", F.explode(F.when(where, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("__copy")
+
+    out = dict(marts)
+    out["dim_date"] = twice(blank(marts["dim_date"], "day_name", F.col("day_of_month") == 13), F.col("day_of_month") == 31)
+    out["dim_geography"] = twice(blank(marts["dim_geography"], "country", F.col("city") == S.UNKNOWN_LABEL), F.col("city") == "BUILDING")
+    c = replaced(marts["dim_customer"], "effective_to", F.expr("effective_from - INTERVAL 1 DAY"), every(47, "customer_id"))
+    c = blank(blank(c, "email", every(53, "customer_id")), "signup_date_key", every(59, "customer_id"))
+    c = replaced(replaced(c, "geography_key", -1, every(61, "customer_id")), "signup_date_key", 19000101, every(67, "customer_id"))
+    out["dim_customer"] = twice(c, every(43, "customer_id"))
+    p = blank(replaced(marts["dim_product"], "sku", "SKU-1", every(41, "product_id")), "name", every(37, "product_id"))
+    out["dim_product"] = twice(replaced(p, "current_unit_price", -F.col("current_unit_price"), every(29, "product_id")), every(31, "product_id"))
+    f = replaced(marts["fact_orders"], "order_date_key", F.col("order_date_key") + 50000000, every(83, "order_id"))
+    f = replaced(f, "customer_key", -1, every(67, "order_id"))
+    f = blank(replaced(f, "product_key", -1, every(61, "order_id")), "product_key", every(89, "order_id"))
+    f = replaced(replaced(f, "quantity", -F.col("quantity"), every(79, "order_id")), "unit_price", -F.col("unit_price"), every(59, "order_id"))
+    f = blank(replaced(replaced(f, "status", "lost", every(73, "order_id")), "channel", "fax", every(53, "order_id")), "channel", every(47, "order_id"))
+    out["fact_orders"] = twice(replaced(f, "net_revenue", F.col("net_revenue") + 1, every(71, "order_id")), every(97, "order_id"))
+    g = replaced(marts["fact_sessions"], "customer_key", -1, F.col("customer_key").isNotNull() & every(5, "duration_seconds"))
+    g = replaced(g, "ended_ts", F.expr("started_ts - INTERVAL 1 DAY"), every(7, "duration_seconds"))
+    g = blank(replaced(g, "session_date_key", 19000101, every(11, "duration_seconds")), "session_date_key", every(13, "duration_seconds"))
+    out["fact_sessions"] = twice(replaced(g, "pages_viewed", -1, every(17, "duration_seconds")), every(19, "duration_seconds"))
+    return out

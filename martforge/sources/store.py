@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from martforge.session import checkpoint_root
 
 _LOG = "number long, version string"
+_RELEASES = "number long, entry string, tables map<string, string>"
 
 
 class TableStore:
@@ -66,6 +67,35 @@ class TableStore:
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
         return reader.parquet(f"{self.root}/{name}/v={version}")
 
+    # --- releases: one entry publishes all tables of a build ---
+    def publish_release(self, release: str, versions: dict[str, str]) -> int:
+        """Append one entry that names the version of every table; readers see all of them or none.
+
+        If another writer took the same number meanwhile, the entry is repeated with the
+        next one, so that every successful publication was the live one at its time.
+        """
+        log, entry = f"{self.root}/_RELEASES/{release}", uuid.uuid4().hex
+        while True:
+            last = self._last_release(release)
+            number = (last["number"] if last else 0) + 1
+            self.spark.createDataFrame([(number, entry, versions)], _RELEASES).coalesce(1).write.mode("append").json(log)
+            if self.spark.read.schema(_RELEASES).json(log).where(F.col("number") >= number).select("entry").distinct().count() == 1:
+                return number
+
+    def _last_release(self, release: str):
+        try:
+            log = self.spark.read.schema(_RELEASES).json(f"{self.root}/_RELEASES/{release}")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        return log.where("entry IS NOT NULL").orderBy(F.col("number").desc(), "entry").first()
+
+    def read_release(self, release: str) -> dict[str, DataFrame]:
+        """All tables of the live release; empty if there is none."""
+        last = self._last_release(release)
+        return {name: self.read(name, version) for name, version in last["tables"].items()} if last else {}
+
     def refresh(self, name: str, df: DataFrame, partition_by: list[str] | None = None, gate=None) -> DataFrame:
         """Full refresh: write a new version, run ``gate(new_df)`` (may raise), then publish."""
         version = self.write_version(name, df, partition_by)

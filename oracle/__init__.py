@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from martforge import schemas as S
+from oracle.marts import contract_report
 from oracle.sql import cents, dbl, dkey, initcap, money_text, parse_money, pct_int, pct_money, q, ratio, _latest, ITEM_COLS
 
 STG_TABLE = {"customers": "stg_customers_2", "products": "stg_products", "orders": "stg_orders",
@@ -207,3 +208,5 @@ ORACLE: dict[str, str] = {
 _SESS_ALL = ("stg_sessions_all AS (SELECT lower(trim(session_id)) AS session_id, CAST(NULLIF(customer_id, '') AS BIGINT) AS customer_id "
              f"FROM {_latest('raw_sessions', 'lower(trim(session_id))', ['session_id', 'customer_id', 'started_ts', 'ended_ts', 'pages_viewed', 'added_to_cart', 'reached_checkout', 'purchased', 'utm_source', 'utm_campaign'])})")
 ORACLE["stg_reject_rows"] = q("").rstrip() + ",\n" + _SESS_ALL + "\n" + _REJECTS
+ORACLE["chk_marts_contract"] = q("").rstrip() + ",\n" + contract_report(planted=False)
+ORACLE["chk_marts_planted"] = q("").rstrip() + ",\n" + contract_report(planted=True)
