@@ -56,7 +56,7 @@ def write_observed(store: TableStore, name: str, df: DataFrame, table: str, cont
     version = store.write_version(name, watched, partition_by)
     found = watch.get  # empty where the plan was proven to have no rows
     counts = [Violations(check, subject, int(found.get(f"r{i}") or 0)) for i, (check, subject, _) in enumerate(rules)]
-    return version, store.read(name, version, schema=None if partition_by else df.schema), counts
+    return version, store.read(name, version, schema=df.schema), counts
 
 
 def key_report(tables: Mapping[str, DataFrame], contracts: Mapping[str, Mapping]) -> DataFrame:

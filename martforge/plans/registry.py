@@ -18,7 +18,7 @@ from martforge.operators.dedup import dedup_latest
 from martforge.operators.joins import asof_window_join
 from martforge.operators.ranking import ntile_distributed
 from martforge.operators.scd2 import scd2_changes, scd2_new
-from martforge.plans import dims, staging
+from martforge.plans import dims, quarantine, staging
 from martforge.plans.analysis import cohort, funnel, ltv, product, rfm, timeseries
 from martforge.plans.warehouse import warehouse
 from martforge.sources import fixtures, landing
@@ -75,6 +75,20 @@ def src_csv_landing(spark, sf):
     return landing.read_feed(spark, path, "orders", fixtures.RUN_TS_1, multiline=True)
 
 
+@query
+def src_csv_landing_all(spark, sf):
+    """All five feeds through CSV files and one ``land`` call: the landed rows, as records per feed and load time."""
+    base = f"{TableStore(spark).root}/csv-landing-all/{spark.sparkContext.applicationId}-{abs(hash(sf))}"
+    for feed, raw in _raw(spark, sf).items():
+        landing.write_feed_csv(raw, f"{base}/{feed}.csv", feed, mode="overwrite")
+    out = None
+    for feed, df in landing.land(spark, base, fixtures.RUN_TS_1).items():
+        record = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("\\N")) for c in S.RAW_COLUMNS[feed]])
+        part = df.select(F.lit(feed).alias("feed"), record.alias("record"), "loaded_at")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def incremental_orders_load(spark, sf):
     """Orders arrive in two drops (up to 1997, then the rest); each drop is merged by a
@@ -160,9 +174,40 @@ def stg_sessions(spark, sf):
     return _stg(spark, sf, "sessions")
 
 
+_ROUTED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_ROUTE_LOCK = threading.Lock()
+
+
+def _routed(spark, sf) -> dict[str, DataFrame]:
+    """The planted feeds, routed once per application."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    with _ROUTE_LOCK:
+        if key not in _ROUTED:
+            _ROUTED[key] = quarantine.route_all(fixtures.planted_feeds(_raw(spark, sf)))
+        return _ROUTED[key]
+
+
 @query
 def stg_reject_rows(spark, sf):
-    return staging.reject_summary(_raw(spark, sf))
+    """Rows that staging sets aside, with feed, reason and raw record, from feeds with planted bad rows."""
+    return quarantine.rejects(_routed(spark, sf))
+
+
+@query
+def stg_reject_summary(spark, sf):
+    """Counts of rejected rows per feed and reason, in the feeds as they are."""
+    return quarantine.reject_summary(_raw(spark, sf))
+
+
+@query
+def stg_reject_accounting(spark, sf):
+    return quarantine.accounting(_routed(spark, sf))
+
+
+@query
+def stg_accepted_order_items(spark, sf):
+    """Lines staged from the accepted rows of the planted feeds."""
+    return quarantine.accepted_rows(_routed(spark, sf), "order_items")
 
 
 @query

@@ -13,12 +13,12 @@ Per feed:
    aborts a load, as the database evaluates the select list after WHERE.
 
 ``strict=True`` (default) aborts on malformed values like a database cast;
-``strict=False`` turns them into NULL and ``reject_summary`` reports them.
+``strict=False`` turns them into NULL; ``plans.quarantine`` sets such rows aside instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,49 @@ from martforge.operators.joins import optional_reference_filter, semi_join
 _LONG, _INT, _TS = T.LongType(), T.IntegerType(), T.TimestampNTZType()
 
 
+def typed_columns(feed: str, strict: bool = True) -> dict[str, Column]:
+    """Staged columns of a feed over its raw text columns."""
+    money = F.coalesce(C.typed(F.nullif(F.col("shipping_cost"), F.lit("")), S.MONEY, strict), F.lit(0).cast(S.MONEY))
+    return {
+        "customers": lambda: {
+            "customer_id": C.typed("customer_id", _LONG, strict), "email": F.lower(F.trim("email")), "full_name": F.trim("full_name"),
+            "signup_ts": C.typed("signup_ts", _TS, strict), "country": C.blank_to_null("country"), "region": C.blank_to_null("region"),
+            "city": C.blank_to_null("city"), "marketing_optin": C.bool_allow_list("marketing_optin"),
+        },
+        "products": lambda: {
+            "product_id": C.typed("product_id", _LONG, strict), "sku": F.upper(F.trim("sku")), "name": F.trim("name"),
+            "category": C.initcap_words(C.blank_to_null("category")), "subcategory": C.initcap_words(C.blank_to_null("subcategory")),
+            "unit_price": C.parse_money("unit_price", strict), "list_price": C.parse_money("list_price", strict),
+            "is_active": C.bool_deny_list("is_active"),
+        },
+        "orders": lambda: {
+            "order_id": C.typed("order_id", _LONG, strict), "customer_id": C.typed("customer_id", _LONG, strict),
+            "order_ts": C.typed("order_ts", _TS, strict), "status": F.lower(F.trim("status")), "channel": F.lower(F.trim("channel")),
+            "discount_code": C.blank_to_null("discount_code"), "shipping_cost": money,
+        },
+        "order_items": lambda: {
+            "order_id": C.typed("order_id", _LONG, strict), "line_no": C.typed("line_no", _INT, strict),
+            "product_id": C.typed("product_id", _LONG, strict), "quantity": C.typed("quantity", _INT, strict),
+            "unit_price": C.parse_money("unit_price", strict),
+        },
+        "sessions": lambda: {
+            "session_id": C.uuid_text("session_id", strict), "customer_id": C.typed(F.nullif(F.col("customer_id"), F.lit("")), _LONG, strict),
+            "started_ts": C.typed("started_ts", _TS, strict), "ended_ts": C.typed("ended_ts", _TS, strict),
+            "pages_viewed": C.typed("pages_viewed", _INT, strict), "added_to_cart": C.bool_strict("added_to_cart", strict),
+            "reached_checkout": C.bool_strict("reached_checkout", strict), "purchased": C.bool_strict("purchased", strict),
+            "utm_source": C.blank_to_null("utm_source"), "utm_campaign": C.blank_to_null("utm_campaign"),
+        },
+    }[feed]()
+
+
+def _staged(df: DataFrame, feed: str, strict: bool) -> DataFrame:
+    return df.select(*[c.alias(name) for name, c in typed_columns(feed, strict).items()])
+
+
+def in_domain() -> Column:
+    return F.lower(F.trim("status")).isin(*S.ORDER_STATUSES) & F.lower(F.trim("channel")).isin(*S.CHANNELS)
+
+
 def _keyed_dedup(raw: DataFrame, typed_keys: dict, strict: bool) -> DataFrame:
     """Add typed key columns ``__k_<name>`` and keep the newest row per typed key."""
     keyed = raw.select(*[C.typed(raw_col, dtype, strict).alias(f"__k_{name}") for name, (raw_col, dtype) in typed_keys.items()], *raw.columns)
@@ -40,31 +83,13 @@ def _keyed_dedup(raw: DataFrame, typed_keys: dict, strict: bool) -> DataFrame:
 def stage_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
     pre = raw.where(F.col("customer_id").isNotNull() & F.col("email").isNotNull())
     w = _keyed_dedup(pre, {"customer_id": ("customer_id", _LONG)}, strict)
-    return w.select(
-        F.col("__k_customer_id").alias("customer_id"),
-        F.lower(F.trim("email")).alias("email"),
-        F.trim("full_name").alias("full_name"),
-        C.typed("signup_ts", _TS, strict).alias("signup_ts"),
-        C.blank_to_null("country").alias("country"),
-        C.blank_to_null("region").alias("region"),
-        C.blank_to_null("city").alias("city"),
-        C.bool_allow_list("marketing_optin").alias("marketing_optin"),
-    )
+    return _staged(w, "customers", strict)
 
 
 def stage_products(raw: DataFrame, strict: bool = True) -> DataFrame:
     pre = raw.where(F.col("product_id").isNotNull())
     w = _keyed_dedup(pre, {"product_id": ("product_id", _LONG)}, strict)
-    return w.select(
-        F.col("__k_product_id").alias("product_id"),
-        F.upper(F.trim("sku")).alias("sku"),
-        F.trim("name").alias("name"),
-        C.initcap_words(C.blank_to_null("category")).alias("category"),
-        C.initcap_words(C.blank_to_null("subcategory")).alias("subcategory"),
-        C.parse_money("unit_price", strict).alias("unit_price"),
-        C.parse_money("list_price", strict).alias("list_price"),
-        C.bool_deny_list("is_active").alias("is_active"),
-    )
+    return _staged(w, "products", strict)
 
 
 def _orders_typed(raw: DataFrame, strict: bool, customers: DataFrame | None = None) -> DataFrame:
@@ -75,17 +100,8 @@ def _orders_typed(raw: DataFrame, strict: bool, customers: DataFrame | None = No
     w = _keyed_dedup(pre, {"order_id": ("order_id", _LONG)}, strict)
     w = w.withColumn("__customer_id", C.typed("customer_id", _LONG, strict))
     if customers is not None:
-        in_domain = F.lower(F.trim("status")).isin(*S.ORDER_STATUSES) & F.lower(F.trim("channel")).isin(*S.CHANNELS)
-        w = semi_join(w.where(in_domain), customers, ["__customer_id"], ["customer_id"])
-    return w.select(
-        F.col("__k_order_id").alias("order_id"),
-        F.col("__customer_id").alias("customer_id"),
-        C.typed("order_ts", _TS, strict).alias("order_ts"),
-        F.lower(F.trim("status")).alias("status"),
-        F.lower(F.trim("channel")).alias("channel"),
-        C.blank_to_null("discount_code").alias("discount_code"),
-        F.coalesce(C.typed(F.nullif(F.col("shipping_cost"), F.lit("")), S.MONEY, strict), F.lit(0).cast(S.MONEY)).alias("shipping_cost"),
-    )
+        w = semi_join(w.where(in_domain()), customers, ["__customer_id"], ["customer_id"])
+    return _staged(w, "orders", strict)
 
 
 def stage_orders(raw: DataFrame, customers: DataFrame, strict: bool = True) -> DataFrame:
@@ -97,13 +113,7 @@ def _items_typed(raw: DataFrame, strict: bool, orders: DataFrame | None = None,
     w = w.withColumn("__product_id", C.typed("product_id", _LONG, strict))
     if orders is not None:
         w = semi_join(semi_join(w, orders, ["__k_order_id"], ["order_id"]), products, ["__product_id"], ["product_id"])
-    return w.select(
-        F.col("__k_order_id").alias("order_id"),
-        F.col("__k_line_no").alias("line_no"),
-        F.col("__product_id").alias("product_id"),
-        C.typed("quantity", _INT, strict).alias("quantity"),
-        C.parse_money("unit_price", strict).alias("unit_price"),
-    )
+    return _staged(w, "order_items", strict)
 
 
 def stage_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame, strict: bool = True) -> DataFrame:
@@ -116,18 +126,7 @@ def _sessions_typed(raw: DataFrame, strict: bool, customers: DataFrame | None =
     w = w.withColumn("__customer_id", C.typed(F.nullif(F.col("customer_id"), F.lit("")), _LONG, strict))
     if customers is not None:
         w = optional_reference_filter(w, customers.select(F.col("customer_id").alias("__customer_id")), "__customer_id")
-    return w.select(
-        F.col("__k_session_id").alias("session_id"),
-        F.col("__customer_id").alias("customer_id"),
-        C.typed("started_ts", _TS, strict).alias("started_ts"),
-        C.typed("ended_ts", _TS, strict).alias("ended_ts"),
-        C.typed("pages_viewed", _INT, strict).alias("pages_viewed"),
-        C.bool_strict("added_to_cart", strict).alias("added_to_cart"),
-        C.bool_strict("reached_checkout", strict).alias("reached_checkout"),
-        C.bool_strict("purchased", strict).alias("purchased"),
-        C.blank_to_null("utm_source").alias("utm_source"),
-        C.blank_to_null("utm_campaign").alias("utm_campaign"),
-    )
+    return _staged(w, "sessions", strict)
 
 
 def stage_sessions(raw: DataFrame, customers: DataFrame, strict: bool = True) -> DataFrame:
@@ -146,108 +145,3 @@ def stage_all(raw: dict[str, DataFrame], strict: bool = True) -> dict[str, DataF
     items = stage_order_items(raw["order_items"], orders, prod, strict)
     sessions = stage_sessions(raw["sessions"], cust, strict)
     return {"customers": cust, "products": prod, "orders": orders, "order_items": items, "sessions": sessions}
-
-
-# ---------------------------------------------------------------------------
-# Quarantine mode: what staging drops, and why.
-# ---------------------------------------------------------------------------
-REJECT_REASONS = ("missing_required", "bad_key", "superseded", "bad_value", "bad_domain", "orphan")
-
-
-def _flag_and_dedup(raw: DataFrame, required: list[str], keys: dict[str, object]):
-    """One pass over a raw feed: (rows failing before dedup, counted by reason;
-    dedup winners with their raw columns and ``__n`` = rows sharing the key)."""
-    req = F.lit(True)
-    for c in required:
-        req = req & F.col(c).isNotNull()
-    typed_keys = [(C.uuid_text(c, False) if t == "uuid" else F.col(c).try_cast(t)).alias(f"__k_{c}") for c, t in keys.items()]
-    raw_null = F.lit(False)
-    key_null = F.lit(False)
-    for c in keys:
-        raw_null = raw_null | F.col(c).isNull()
-        key_null = key_null | F.col(f"__k_{c}").isNull()
-    flagged = raw.select(*typed_keys, *raw.columns).withColumn(
-        "__pre", F.when(~req | raw_null, F.lit("missing_required")).when(key_null, F.lit("bad_key")))
-    pre = flagged.where(F.col("__pre").isNotNull()).groupBy(F.col("__pre").alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
-    body = [c for c in raw.columns if c != "loaded_at"]
-    winners = flagged.where(F.col("__pre").isNull()).groupBy(*[f"__k_{c}" for c in keys]).agg(
-        F.max(F.struct("loaded_at", *body)).alias("__w"), F.count(F.lit(1)).alias("__n"))
-    winners = winners.select(*[f"__k_{c}" for c in keys], "__n", *[F.col(f"__w.{c}").alias(c) for c in body])
-    return pre, winners
-
-
-def _feed_report(feed: str, pre: DataFrame, winners: DataFrame, reason: F.Column) -> DataFrame:
-    """Pre-dedup rejects plus, in one aggregate over the winners, superseded rows and per-reason counts."""
-    counts = winners.agg(
-        F.sum(F.col("__n") - 1).alias("superseded"),
-        *[F.count_if(reason == F.lit(r)).alias(r) for r in ("bad_value", "bad_domain", "orphan")],
-    )
-    stacked = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(r).alias("reason"), F.col(r).cast("long").alias("n_rows")) for r in ("superseded", "bad_value", "bad_domain", "orphan")
-    ])).alias("x")).select("x.*")
-    return pre.select("reason", F.col("n_rows").cast("long")).unionByName(stacked).select(F.lit(feed).alias("feed"), "reason", "n_rows")
-
-
-def reject_summary(raw: dict[str, DataFrame]) -> DataFrame:
-    """Rows of each raw feed that do not reach staging, counted per (feed, reason).
-
-    Reasons, first match wins in pipeline order: missing_required (prefilter
-    or NULL key), bad_key (key not castable), superseded (lost the dedup),
-    bad_value (a payload value not castable), bad_domain (status/channel),
-    orphan (parent missing).  Each feed is deduplicated once; the surviving
-    parents used by the orphan checks are the same DataFrames, so the plan
-    reuses their exchanges.
-    """
-    def bad(*pairs) -> F.Column:
-        """A present raw value whose typed form is NULL (the cast failed)."""
-        out = F.lit(False)
-        for raw_col, typed in pairs:
-            present = C.col_(raw_col).isNotNull()
-            out = out | (present & typed.isNull())
-        return out
-
-    reports = []
-    # customers
-    pre, cw = _flag_and_dedup(raw["customers"], ["customer_id", "email"], {"customer_id": "bigint"})
-    c_bad = bad(("signup_ts", F.col("signup_ts").try_cast(_TS)))
-    reports.append(_feed_report("customers", pre, cw, F.when(c_bad, F.lit("bad_value"))))
-    customers_ok = cw.where(~c_bad).select(F.col("__k_customer_id").alias("customer_id"))
-    # products
-    pre, pw = _flag_and_dedup(raw["products"], ["product_id"], {"product_id": "bigint"})
-    p_bad = bad(("unit_price", C.parse_money("unit_price", False)), ("list_price", C.parse_money("list_price", False)))
-    reports.append(_feed_report("products", pre, pw, F.when(p_bad, F.lit("bad_value"))))
-    products_ok = pw.where(~p_bad).select(F.col("__k_product_id").alias("product_id"))
-    # orders: domain before parent, as in staging
-    pre, ow = _flag_and_dedup(raw["orders"], ["order_id"], {"order_id": "bigint"})
-    ow = ow.withColumn("__cid", F.col("customer_id").try_cast("bigint"))
-    ow = ow.join(customers_ok.select(F.col("customer_id").alias("__cid"), F.lit(True).alias("__has_parent")), "__cid", "left")
-    o_bad = bad(("customer_id", F.col("__cid")), ("order_ts", F.col("order_ts").try_cast(_TS)),
-                (F.nullif(F.col("shipping_cost"), F.lit("")), F.nullif(F.col("shipping_cost"), F.lit("")).try_cast(S.MONEY)))
-    o_domain = F.lower(F.trim("status")).isin(*S.ORDER_STATUSES) & F.lower(F.trim("channel")).isin(*S.CHANNELS)
-    o_reason = (F.when(o_bad, F.lit("bad_value")).when(~o_domain, F.lit("bad_domain"))
-                .when(F.col("__has_parent").isNull(), F.lit("orphan")))
-    reports.append(_feed_report("orders", pre, ow, o_reason))
-    orders_ok = ow.where(o_reason.isNull()).select(F.col("__k_order_id").alias("order_id"))
-    # order items
-    pre, iw = _flag_and_dedup(raw["order_items"], [], {"order_id": "bigint", "line_no": "int"})
-    iw = iw.withColumn("__pid", F.col("product_id").try_cast("bigint"))
-    iw = (iw.join(orders_ok.select(F.col("order_id").alias("__k_order_id"), F.lit(True).alias("__o")), "__k_order_id", "left")
-            .join(products_ok.select(F.col("product_id").alias("__pid"), F.lit(True).alias("__p")), "__pid", "left"))
-    i_bad = bad(("product_id", F.col("__pid")), ("quantity", F.col("quantity").try_cast("int")),
-                ("unit_price", C.parse_money("unit_price", False)))
-    i_reason = F.when(i_bad, F.lit("bad_value")).when(F.col("__o").isNull() | F.col("__p").isNull(), F.lit("orphan"))
-    reports.append(_feed_report("order_items", pre, iw, i_reason))
-    # sessions
-    pre, sw = _flag_and_dedup(raw["sessions"], [], {"session_id": "uuid"})
-    sw = sw.withColumn("__cid", F.nullif(F.col("customer_id"), F.lit("")).try_cast("bigint"))
-    sw = sw.join(customers_ok.select(F.col("customer_id").alias("__cid"), F.lit(True).alias("__c")), "__cid", "left")
-    s_bad = bad((F.nullif(F.col("customer_id"), F.lit("")), F.col("__cid")),
-                ("started_ts", F.col("started_ts").try_cast(_TS)), ("ended_ts", F.col("ended_ts").try_cast(_TS)),
-                ("pages_viewed", F.col("pages_viewed").try_cast("int")))
-    s_reason = F.when(s_bad, F.lit("bad_value")).when(F.col("__cid").isNotNull() & F.col("__c").isNull(), F.lit("orphan"))
-    reports.append(_feed_report("sessions", pre, sw, s_reason))
-
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out.where("n_rows > 0")

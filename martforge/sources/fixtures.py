@@ -168,6 +168,42 @@ def raw_feeds(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> dict[str,
     return feeds
 
 
+def planted_feeds(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The raw feeds with rows planted that staging must set aside, for every reason a feed can have."""
+    def number(column: str) -> Column:
+        return F.col(column).cast("bigint")
+
+    def planted(df: DataFrame, n: Column, rules: list[tuple[int, str, Column | None]], again: int) -> DataFrame:
+        """Every ``again``-th row has an older copy; then rule by rule the column of every d-th row is replaced."""
+        df = df.withColumn("__n", n)
+        copies = F.when(F.col("__n") % again == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        df = df.withColumn("__old", F.explode(copies)).withColumn("loaded_at", F.expr("loaded_at - make_dt_interval(__old)"))
+        for divisor, column, value in rules:
+            df = df.withColumn(column, F.when(F.col("__n") % divisor == 0, value).otherwise(F.col(column)))
+        return df.drop("__n", "__old")
+
+    def text(value: str) -> Column:
+        return F.lit(value)
+
+    gone = F.lit(None).cast("string")
+    return {
+        "customers": planted(raw["customers"], number("customer_id"), [
+            (43, "signup_ts", text("never")), (31, "email", gone), (37, "customer_id", F.concat(F.lit("c"), "customer_id"))], 41),
+        "products": planted(raw["products"], number("product_id"), [
+            (47, "unit_price", text("free")), (43, "list_price", text("-1")), (53, "product_id", F.concat(F.lit("p"), "product_id")),
+            (59, "product_id", gone)], 61),
+        "orders": planted(raw["orders"], number("order_id"), [
+            (103, "status", text("lost")), (101, "channel", gone), (107, "customer_id", text("999999999")), (109, "order_ts", text("soon")),
+            (89, "shipping_cost", text("much")), (83, "customer_id", gone), (113, "order_id", F.concat(F.lit("o"), "order_id")), (131, "order_id", gone)], 127),
+        "order_items": planted(raw["order_items"], number("order_id") * 8 + number("line_no"), [
+            (97, "quantity", text("many")), (101, "quantity", text("0")), (103, "unit_price", gone), (107, "product_id", text("none")),
+            (109, "line_no", text("first")), (113, "line_no", gone)], 127),
+        "sessions": planted(raw["sessions"], F.substring("session_id", 1, 8).cast("bigint"), [
+            (41, "added_to_cart", text("maybe")), (43, "customer_id", text("guest")), (47, "customer_id", text("999999999")),
+            (53, "ended_ts", text("1995-01-01 00:00:00")), (59, "session_id", text("none")), (61, "session_id", gone)], 67),
+    }
+
+
 def planted_marts(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The marts with bad rows planted by rules over their natural keys: every rule of the contract is broken somewhere."""
     def every(n: int, key: str) -> Column:

@@ -111,4 +111,4 @@ class TableStore:
         Nothing is published (no pointer move); use ``refresh`` for that.
         """
         version = self.write_version(name, df, partition_by)
-        return self.read(name, version, schema=None if partition_by else df.schema)
+        return self.read(name, version, schema=df.schema)

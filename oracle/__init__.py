@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from martforge import schemas as S
+from oracle import quarantine
 from oracle.marts import contract_report
 from oracle.sql import cents, dbl, dkey, initcap, money_text, parse_money, pct_int, pct_money, q, ratio, _latest, ITEM_COLS
 
@@ -107,22 +108,6 @@ _DENSE_DAILY = ("(SELECT d.full_date, COALESCE(r.net_revenue, CAST(0 AS DECIMAL(
                 "COALESCE(r.unique_customers, 0) AS unique_customers FROM dim_date d LEFT JOIN daily_revenue r ON r.full_date = d.full_date "
                 "WHERE d.full_date BETWEEN (SELECT min(full_date) FROM daily_revenue) AND (SELECT max(full_date) FROM daily_revenue))")
 
-_REJECTS = f"""SELECT feed, reason, CAST(n_rows AS BIGINT) AS n_rows FROM (
-SELECT 'customers' AS feed, 'superseded' AS reason, count(*) - count(DISTINCT CAST(customer_id AS BIGINT)) AS n_rows FROM raw_customers_1 WHERE customer_id IS NOT NULL AND email IS NOT NULL
-UNION ALL SELECT 'products', 'superseded', count(*) - count(DISTINCT CAST(product_id AS BIGINT)) FROM raw_products WHERE product_id IS NOT NULL
-UNION ALL SELECT 'orders', 'superseded', count(*) - count(DISTINCT CAST(order_id AS BIGINT)) FROM raw_orders WHERE order_id IS NOT NULL
-UNION ALL SELECT 'order_items', 'superseded', count(*) - count(DISTINCT (CAST(order_id AS BIGINT), CAST(line_no AS INTEGER))) FROM raw_order_items
-UNION ALL SELECT 'sessions', 'superseded', count(*) - count(DISTINCT lower(trim(session_id))) FROM raw_sessions
-UNION ALL SELECT 'orders', 'bad_domain', count(*) FROM {_latest('raw_orders', 'CAST(order_id AS BIGINT)', ['order_id', 'customer_id', 'order_ts', 'status', 'channel', 'discount_code', 'shipping_cost'], 'order_id IS NOT NULL')} o
-  WHERE NOT (lower(trim(o.status)) IN ('placed', 'fulfilled', 'cancelled', 'refunded') AND lower(trim(o.channel)) IN ('web', 'ios', 'android'))
-UNION ALL SELECT 'order_items', 'orphan', count(*) FROM {_latest('raw_order_items', 'CAST(order_id AS BIGINT), CAST(line_no AS INTEGER)', ITEM_COLS)} oi
-  WHERE NOT EXISTS (SELECT 1 FROM stg_orders o WHERE o.order_id = CAST(oi.order_id AS BIGINT))
-     OR NOT EXISTS (SELECT 1 FROM stg_products p WHERE p.product_id = CAST(oi.product_id AS BIGINT))
-UNION ALL SELECT 'sessions', 'orphan', count(*) FROM stg_sessions_all s
-  WHERE s.customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_customers_1 c WHERE c.customer_id = s.customer_id)
-) WHERE n_rows > 0"""
-
-
 ORACLE: dict[str, str] = {
     "raw_load_summary": q(_union([f"SELECT '{t}' AS table_name, count(*) AS row_count FROM raw_{t if t != 'customers' else 'customers_1'}"
                                   for t in S.FEEDS])),
@@ -141,7 +126,6 @@ ORACLE: dict[str, str] = {
     "incremental_orders_load": q(f"SELECT order_id, customer_id, order_ts, status, channel, discount_code, {dbl('shipping_cost')} AS shipping_cost FROM stg_orders"),
     "stg_order_items": q(f"SELECT order_id, line_no, product_id, quantity, {dbl('unit_price')} AS unit_price FROM stg_order_items"),
     "stg_sessions": q("SELECT * FROM stg_sessions"),
-    "stg_reject_rows": None,  # filled below (needs an extra CTE)
     "fn_initcap_words": q(f"SELECT p_partkey AS product_id, {initcap('p_type')} AS category, {initcap('p_brand')} AS subcategory, "
                           f"{initcap('p_name')} AS name_title FROM part"),
     "fn_parse_money": q(f"SELECT l_orderkey AS order_id, l_linenumber AS line_no, {money_text('l_extendedprice')} AS price_text, "
@@ -205,8 +189,8 @@ ORACLE: dict[str, str] = {
     "ltv_month6": q("SELECT cohort_month, cohort_size, avg_cumulative_revenue_per_cohort_member AS ltv_month_6 FROM customer_ltv WHERE months_since_signup = 6"),
 }
 
-_SESS_ALL = ("stg_sessions_all AS (SELECT lower(trim(session_id)) AS session_id, CAST(NULLIF(customer_id, '') AS BIGINT) AS customer_id "
-             f"FROM {_latest('raw_sessions', 'lower(trim(session_id))', ['session_id', 'customer_id', 'started_ts', 'ended_ts', 'pages_viewed', 'added_to_cart', 'reached_checkout', 'purchased', 'utm_source', 'utm_campaign'])})")
-ORACLE["stg_reject_rows"] = q("").rstrip() + ",\n" + _SESS_ALL + "\n" + _REJECTS
-ORACLE["chk_marts_contract"] = q("").rstrip() + ",\n" + contract_report(planted=False)
-ORACLE["chk_marts_planted"] = q("").rstrip() + ",\n" + contract_report(planted=True)
+# keys that need CTEs of their own after the common ones
+for _key, _rest in {"stg_reject_rows": quarantine.REJECT_ROWS, "stg_reject_summary": quarantine.REJECT_SUMMARY,
+                    "stg_reject_accounting": quarantine.ACCOUNTING, "src_csv_landing_all": quarantine.LANDED, "stg_accepted_order_items": quarantine.ACCEPTED_ITEMS,
+                    "chk_marts_contract": contract_report(planted=False), "chk_marts_planted": contract_report(planted=True)}.items():
+    ORACLE[_key] = q("").rstrip() + ",\n" + _rest

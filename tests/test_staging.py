@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from martforge import schemas as S
-from martforge.plans import staging
+from martforge.plans import quarantine, staging
 from martforge.sources import landing
 from tests.conftest import rows
 
@@ -99,7 +99,7 @@ def test_reject_summary(spark):
                                                   ("11", "1", "5", "1", "1", L1)]),
         "sessions": raw(spark, "sessions", []),
     }
-    got = {(r["feed"], r["reason"]): r["n_rows"] for r in staging.reject_summary(feeds).collect()}
+    got = {(r["feed"], r["reason"]): r["n_rows"] for r in quarantine.reject_summary(feeds).collect()}
     assert got == {("customers", "missing_required"): 1, ("customers", "superseded"): 1, ("products", "bad_key"): 1,
                    ("orders", "bad_domain"): 1, ("orders", "orphan"): 1, ("order_items", "superseded"): 1,
                    ("order_items", "orphan"): 1}
