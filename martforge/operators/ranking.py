@@ -6,8 +6,9 @@ the same numbers with all work spread over range partitions:
 
 1. ``repartitionByRange`` on a total order (order columns plus unique
    tie-breakers, so massive ties in the ordered value split, too);
-2. the partition number is kept as a column and the rows are checkpointed, so a
-   retried task cannot see another partitioning;
+2. the partition number is kept as a column and the rows are written as a table
+   (evaluated once, where a checkpoint would do so twice), so a retried task cannot
+   see another partitioning;
 3. rows are counted per partition; prefix sums of these counts (one row per
    partition, a table like any other) are each partition's offset;
 4. ``row_number`` runs per partition and is shifted by its offset;
@@ -24,29 +25,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.session import checkpoint_root
+from martforge.sources.store import TableStore
 
 
-def global_row_numbers(df: DataFrame, orderings: dict[str, Sequence[str]], *, partitions: int | None = None) -> tuple[DataFrame, int]:
-    """``row_number() OVER (ORDER BY ...)`` for several orderings, over range partitions.
-
-    ``orderings`` maps an output column to its order columns, which must make
-    rows unique (append natural-key tie-breakers).  ``partitions`` defaults to the
-    session's shuffle partitions.  Returns (frame, n).
-    """
-    checkpoint_root(df.sparkSession)
+def _numbered(df: DataFrame, orderings: dict[str, Sequence[str]], partitions: int | None = None) -> DataFrame:
+    """``df`` with a global row number per ordering; ``df`` itself is evaluated by the first numbering only."""
+    store = TableStore(df.sparkSession)
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df
     for name, order in orderings.items():
         columns = [F.col(c).asc() for c in order]
-        ranged = out.repartitionByRange(parts, *columns).withColumn("__range", F.spark_partition_id()).checkpoint()
+        ranged = store.materialize("ranges", out.repartitionByRange(parts, *columns).withColumn("__range", F.spark_partition_id()))
         before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
         offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
-        offsets = offsets.select(F.col("__range"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")).checkpoint()
+        offsets = offsets.select(F.col("__range"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
         within = Window.partitionBy("__range").orderBy(*columns)
         out = ranged.join(offsets, "__range").withColumn(name, (F.row_number().over(within) + F.col("__offset")).cast("long"))
         out = out.drop("__range", "__offset")
-    return out, df.count()
+    return out
+
+
+def global_row_numbers(df: DataFrame, orderings: dict[str, Sequence[str]], *, partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``row_number() OVER (ORDER BY ...)`` for several orderings, over range partitions.
+
+    ``orderings`` maps an output column to its order columns, which must make
+    rows unique (append natural-key tie-breakers).  ``partitions`` defaults to the
+    session's shuffle partitions.  Returns (frame, n).
+    """
+    out = _numbered(df, orderings, partitions)
+    return out, out.count()
 
 
 def global_row_number(df: DataFrame, order_by: Sequence[str], *, out: str = "row_number", **kw) -> tuple[DataFrame, int]:
@@ -79,26 +86,36 @@ def ntiles_distributed(df: DataFrame, k: int, orderings: dict[str, Sequence[str]
     return numbered.drop(*tmp)
 
 
-def group_ranks(df: DataFrame, groups: Sequence[str], value: str, row_id: Sequence[str], **kw) -> DataFrame:
-    """Per-group ranking columns without a window partition per group.
+def group_ranks(df: DataFrame, groups: Sequence[str], value: str, *, partitions: int | None = None) -> DataFrame:
+    """Per-group ranking columns without a task that holds a whole group.
 
     Adds ``rank_asc`` (= ``rank() OVER (PARTITION BY groups ORDER BY value)``),
     ``dense_rank_desc`` (= ``dense_rank() ... ORDER BY value DESC``), ``group_rows``
     and ``group_total`` (sum of value).  ``value`` must be non-NULL.
 
-    A group may be of any size.  Rows are collapsed to distinct (group, value) pairs
-    with their counts; the pairs are numbered globally.  A pair's dense rank is its
-    distance to its group's last pair, and its rank is one more than the rows of the
-    group's pairs before it: the difference of two running totals over the numbered
-    pairs.  Group keys may be NULL; they are joined null-safely.
+    Rows collapse to distinct (group, value) pairs with their counts, partial per task,
+    so a value that many rows share is one row.  One range partitioning by (group, value)
+    cuts a group of any size; the windows run inside (range, group), and what lies in
+    other ranges of a group is added from one row per (range, group).  Group keys may be
+    NULL; they are joined null-safely.  ``df`` is read twice: hand in a written table.
     """
-    groups, row_id = list(groups), list(row_id)
-    numbered, _ = global_row_numbers(df.select(*groups, value, *row_id), {"__rn": [*groups, value, *row_id]}, **kw)
-    starts = numbered.groupBy(*groups, value).agg(F.min("__rn").alias("__start"), F.count(F.lit(1)).alias("__rows"))
-    pairs, _ = global_row_numbers(starts, {"__pair": [*groups, value]}, **kw)
-    per_group = pairs.groupBy(*groups).agg(
-        F.min("__start").alias("__group_start"), F.max("__pair").alias("__last_pair"), F.sum("__rows").alias("group_rows"),
-        F.sum(F.col(value) * F.col("__rows")).alias("group_total"))
+    groups = list(groups)
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__rows"))
+    # a retried task must not see another partitioning
+    ranged = TableStore(df.sparkSession).materialize(
+        "ranges", pairs.repartitionByRange(parts, *groups, value).withColumn("__range", F.spark_partition_id()))
+    here = Window.partitionBy("__range", *groups).orderBy(value)
+    local = ranged.select(
+        "__range", *groups, value, F.coalesce(F.sum("__rows").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__less"),
+        F.row_number().over(here).alias("__pair"))
+    per_range = ranged.groupBy("__range", *groups).agg(F.sum("__rows").alias("__n"), F.count(F.lit(1)).alias("__p"), F.sum(F.col(value) * F.col("__rows")).alias("__t"))
+    whole = Window.partitionBy(*groups)
+    along = whole.orderBy("__range")
+    per_range = per_range.select(
+        "__range", *groups, F.coalesce(F.sum("__n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.sum("__p").over(along.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("__pairs_on"),
+        F.sum("__n").over(whole).alias("group_rows"), F.sum("__t").over(whole).alias("group_total"))
 
     def joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         other = right.select(*[F.col(c).alias(f"__r_{c}") for c in keys], *[c for c in right.columns if c not in keys])
@@ -107,8 +124,7 @@ def group_ranks(df: DataFrame, groups: Sequence[str], value: str, row_id: Sequen
             same = same & left[c].eqNullSafe(other[f"__r_{c}"])
         return left.join(other, same).drop(*[f"__r_{c}" for c in keys])
 
-    ranked = joined(pairs, per_group, groups).select(
-        *groups, value, (F.col("__start") - F.col("__group_start") + 1).cast("long").alias("rank_asc"),
-        (F.col("__last_pair") - F.col("__pair") + 1).cast("long").alias("dense_rank_desc"),
-        "group_rows", F.col("group_total"))
+    ranked = joined(local, per_range, ["__range", *groups]).select(
+        *groups, value, (F.col("__before") + F.col("__less") + 1).cast("long").alias("rank_asc"),
+        (F.col("__pairs_on") - F.col("__pair") + 1).cast("long").alias("dense_rank_desc"), "group_rows", "group_total")
     return joined(df, ranked, [*groups, value])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from martforge.functions import columns as C
 from martforge.operators.ranking import group_ranks
 from martforge.plans.analysis.common import dated_revenue_facts
+from martforge.sources.store import TableStore
 
 
 def product_quarter(marts: dict[str, DataFrame]) -> DataFrame:
@@ -35,7 +36,8 @@ def _with_previous(pq: DataFrame) -> DataFrame:
 
 def _ranked(pq: DataFrame) -> DataFrame:
     """Rank, share and percentile within (category, year, quarter) by ``operators.ranking.group_ranks``: a category may be of any size."""
-    ranked = group_ranks(pq, ["category", "year", "quarter"], "net_revenue", ["product_key"])
+    pq = TableStore(pq.sparkSession).materialize("product_quarter", pq)   # the aggregate of all fact lines is made once
+    ranked = group_ranks(pq, ["category", "year", "quarter"], "net_revenue")
     base = ranked.select(
         *[c for c in pq.columns if c != "prev_quarter_revenue"],
         F.col("dense_rank_desc").alias("rank_in_category"),

@@ -194,7 +194,7 @@ def test_group_ranks_distributed_equals_windows(spark):
     g = Window.partitionBy("g")
     want = df.select("*", F.rank().over(g.orderBy("v")).alias("rank_asc"), F.dense_rank().over(g.orderBy(F.desc("v"))).alias("dense_rank_desc"),
                      F.count("*").over(g).alias("group_rows"), F.sum("v").over(g).alias("group_total"))
-    dist = group_ranks(df, ["g"], "v", ["id"], partitions=5)
+    dist = group_ranks(df, ["g"], "v", partitions=5)
     assert rows(dist, *cols) == rows(want, *cols)
     assert dist.count() == 420
 
