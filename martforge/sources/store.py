@@ -76,13 +76,13 @@ class TableStore:
         """
         log, entry = f"{self.root}/_RELEASES/{release}", uuid.uuid4().hex
         while True:
-            last = self._last_release(release)
+            last = self.last_release(release)
             number = (last["number"] if last else 0) + 1
             self.spark.createDataFrame([(number, entry, versions)], _RELEASES).coalesce(1).write.mode("append").json(log)
             if self.spark.read.schema(_RELEASES).json(log).where(F.col("number") >= number).select("entry").distinct().count() == 1:
                 return number
 
-    def _last_release(self, release: str):
+    def last_release(self, release: str):
         try:
             log = self.spark.read.schema(_RELEASES).json(f"{self.root}/_RELEASES/{release}")
         except AnalysisException as e:
@@ -93,7 +93,7 @@ class TableStore:
 
     def read_release(self, release: str) -> dict[str, DataFrame]:
         """All tables of the live release; empty if there is none."""
-        last = self._last_release(release)
+        last = self.last_release(release)
         return {name: self.read(name, version) for name, version in last["tables"].items()} if last else {}
 
     def refresh(self, name: str, df: DataFrame, partition_by: list[str] | None = None, gate=None) -> DataFrame:

@@ -180,6 +180,9 @@ ORACLE: dict[str, str] = {
     "top3_products_latest_q": q(f"SELECT * FROM ({_PPQ}) WHERE CAST(year AS INTEGER) * 10 + quarter = "
                                 f"(SELECT max(CAST(year AS INTEGER) * 10 + quarter) FROM product_performance_q) AND rank_in_category <= 3"),
     "daily_revenue": q(f"SELECT full_date, {dbl('net_revenue')} AS net_revenue, orders, unique_customers FROM daily_revenue"),
+    "fact_orders_monthly": q(_FACT_ORDERS),
+    "daily_revenue_last30": q(f"SELECT full_date, {dbl('net_revenue')} AS net_revenue, orders, unique_customers FROM daily_revenue "
+                              "WHERE full_date > (SELECT max(d.full_date) FROM fact_orders f JOIN dim_date d ON d.date_key = f.order_date_key) - INTERVAL 30 DAY"),
     "daily_revenue_trend": q(f"SELECT {_TREND_COLS} FROM daily_revenue_trend"),
     "daily_trend_last30": q(f"SELECT {_TREND_COLS} FROM daily_revenue_trend ORDER BY full_date DESC LIMIT 30"),
     "daily_revenue_trend_calendar": q(f"SELECT {_TREND_COLS} FROM ({_trend_from(_DENSE_DAILY)})"),
