@@ -3,7 +3,8 @@
 fact_orders join order (by shuffle volume): orders are first matched to their
 customer version (point-in-time join, exchange on customer_id), then joined
 to their lines (exchange on order_id); the product lookup happens on the
-line side before that.  Lines — the largest input — cross the network once.
+line side before that.  Lines, the largest input, are exchanged for dedup and semi-joins in
+staging and once more here.
 Whether product and customer dimensions are broadcast is left to the
 planner's size estimates and AQE, which switch to a broadcast only when a
 side is measured small; a hot customer is split by AQE's skew join.
