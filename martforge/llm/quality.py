@@ -152,11 +152,13 @@ def keep_good(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     so the features are computed once, in their own projections, and not inside the condition.
     """
     done: list = []
-    df = docs.select([docs[c] for c in docs.columns])
+    # the input's columns wait under other names: a feature's name may be one of theirs
+    held = {c: c if c == "text" else f"__in_{i}" for i, c in enumerate(docs.columns)}
+    df = docs.select([docs[c].alias(name) for c, name in held.items()])
     for rule in rules if rules is not None else order_rules(docs):
         df = _with(df, rule.features, done).withColumn("__row", F.monotonically_increasing_id())
         df = df.where(f"NOT ({rule.rejects}) AND __row >= 0")
-    return df.select([F.col(f"`{c}`") for c in docs.columns])
+    return df.select([F.col(name).alias(c) for c, name in held.items()])
 
 
 def report(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:

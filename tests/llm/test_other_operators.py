@@ -133,6 +133,19 @@ def test_quality_report_equals_sql(spark):
     assert clean(report.collect()) == clean(want.fetchall())
 
 
+def test_cascade_returns_the_input_columns_as_they_were(spark):
+    from pyspark.sql import functions as F
+    docs = frame(spark, awkward_texts())
+    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "__row"]
+    marked = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    kept = quality.keep_good(marked, list(quality.RULES))
+    assert kept.schema == marked.schema
+    expected = {r.doc_id for r in quality.report(docs, list(quality.RULES)).where("kept").collect()}
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == expected and rows
+    assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
 def test_cascade_keeps_what_the_report_keeps_in_any_order(spark):
     texts = awkward_texts(7) + ["ok words are here and they go on for long enough to pass", "# " * 40]
     docs = frame(spark, texts)
