@@ -38,7 +38,7 @@ def _numbered(df: DataFrame, orderings: dict[str, Sequence[str]], partitions: in
         ranged = store.materialize("ranges", out.repartitionByRange(parts, *columns).withColumn("__range", F.spark_partition_id()))
         before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
         offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
-        offsets = offsets.select(F.col("__range"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+        offsets = store.materialize("offsets", offsets.select(F.col("__range"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")))
         within = Window.partitionBy("__range").orderBy(*columns)
         out = ranged.join(offsets, "__range").withColumn(name, (F.row_number().over(within) + F.col("__offset")).cast("long"))
         out = out.drop("__range", "__offset")
