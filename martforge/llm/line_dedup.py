@@ -1,22 +1,29 @@
-"""Line dedup by an exact set-similarity join, DataFrame functions only.
+"""Line dedup by an exact set-similarity join.
 
 A line is the set of its words.  A line is removed when an earlier line (smaller
 ``doc_id``, or the same document and an earlier line) has a Jaccard similarity of at
 least ``similarity`` with it; lines are judged on the input.  Lines without a word
 are never removed.
 
-1. Equal lines collapse to one class; all but the first are removed at once, so a line
-   that a third of all documents share enters the join once.
-2. Tokens of a class are ordered by rarity: by the magnitude of the number of
-   occurrences, counted over all class representatives in a fixed number of hash cells,
-   then by hash.
+1. Words are cut, hashed and ordered column-wise in Arrow batches (``line_words``); lines
+   of equal word sets collapse to one class by a grouped minimum of their places, and all
+   but the first are removed at once.  A line that a third of all documents share costs one
+   row per task there, and the join back to the lines is one that AQE splits.
+2. Words of a line are ordered by rarity: by the magnitude of the number of occurrences,
+   counted over the whole corpus in a fixed number of hash cells, then by hash.
    Any total order makes the filters exact; rarity makes them selective.
-3. Prefix filter: similar lines share one of their first ``n - ceil(s n) + 1`` tokens.
-   Length and positional filters, and a bound on the differing tokens from 64-bit
-   signatures, prune the equi-join on those tokens.
-4. Surviving pairs are verified by the exact Jaccard similarity of their word sets: a line
-   with its earliest candidate first, with all others if that one fails.
-
+3. Prefix filter: similar lines share one of their first ``n - ceil(s n) + 1`` words.
+   Words that occur nowhere else leave the prefix.  The length filter and the positional
+   filter prune the equi-join on the rest.
+4. Surviving pairs are verified by the exact Jaccard similarity of their words as text;
+   only lines that are in a pair are fetched: a line meets its earliest candidate first,
+   all others if that one fails.
+
+The joins, the classes and the verification are DataFrame code.  Step 1 is not: the native
+form of it (array functions with lambdas) did not meet the limits of CPU time and disk.
+
+An empty table has no lines.  A very long text is cut whole in one task, a line is never
+shortened.
 Rows that agree in ``doc_id`` and text are one document and get the same result; null
 texts have no line; rows with a null ``doc_id`` come after all others.  Extra columns
 are kept by ``remove_matches`` and ignored by ``report``.
@@ -26,12 +33,12 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.llm.common import written
+from martforge.llm.line_words import levels, prefixes
 
-CELLS = 1 << 15     # hash cells of the token counts: the only thing that reaches the driver
 WHITE = "\t\x0b\x0c\r"
 ID = ["doc", "version", "line_no"]  # a line's place: the total order that "earlier" means
 PAIR = [f"{s}_{c}" for s in "ab" for c in ID]
@@ -55,65 +62,49 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """``(doc, version, line_no, line)`` of every line with a word."""
-    base = docs.select(_doc().alias("doc"), F.xxhash64(_text()).alias("version"), _text().alias("text"))
-    lines = base.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-
-
-def _classes(lines: DataFrame) -> DataFrame:
-    """Every line, with the text only on the first of its class of equal lines; ``later``: its place comes after the first one's.
+def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``__doc`` and ``__version``, and the distinct ``(doc, version, text)`` of it.
 
-    Repeated rows of a document give the same place: one of them is the first, and none of them is later.
+    The version is 0 while every ``doc_id`` is there once, else a hash of the text.
     """
-    order = Window.partitionBy("h1", "h2").orderBy(*ID)
-    ranked = (lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), F.col("line"))})
-              .withColumns({"first": F.row_number().over(order) == 1, "later": F.rank().over(order) > 1}))
-    return ranked.select(*ID, "first", "later", F.when(F.col("first"), F.col("line")).alias("line"))
-
-
-def _levels(lines: DataFrame) -> list[int]:
-    """Magnitude (binary logarithm, the 16 highest) of the occurrences in every hash cell, as the top bits of a key."""
-    tokens = lines.select(F.explode(_words(F.col("line"))).alias("w"))
-    cells = tokens.groupBy(F.xxhash64("w").bitwiseAND(CELLS - 1).alias("cell")).agg(F.count("*").alias("n"))
-    found = {r["cell"]: int(r["n"]).bit_length() for r in cells.collect()}  # at most CELLS rows
-    top = max(found.values(), default=0)
-    return [max(found.get(i, 0) - max(top - 15, 0), 0) << 59 for i in range(CELLS)]
+    unique = docs.groupBy(_doc().alias("d")).count().where("count > 1").isEmpty()
+    version = F.lit(0).cast("long") if unique else F.xxhash64(_text())
+    texts = docs.select(_doc().alias("doc"), version.alias("version"), _text().alias("text"))
+    return docs.withColumns({"__doc": _doc(), "__version": version}), texts if unique else texts.dropDuplicates(["doc", "version"])
 
 
-def _tokens(lines: DataFrame, levels: list[int]) -> DataFrame:
-    """``keys``: the line's distinct tokens as longs, rarest first (4 bits of level, 59 bits of hash); ``bits``: 64 bits set by them."""
-    # one constant: folded before the loop runs
-    table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
+def _lines(texts: DataFrame, similarity: Fraction) -> DataFrame:
+    """Every line with its place and prefix; ``first``: the first of its class of equal word sets."""
+    binary = texts.withColumn("text", F.col("text").cast("binary"))
+    lines = written(prefixes(binary, levels(binary), similarity.numerator, similarity.denominator), "lines")
+    first = lines.groupBy("h1", "h2").agg(F.min(F.struct(*ID)).alias("place"))
+    marked = lines.join(first, ["h1", "h2"]).withColumn("first", F.struct(*ID) == F.col("place"))
+    return written(marked.select(*ID, "first", F.when(F.col("first"), F.struct("n", "skip", "prefix")).alias("set")), "line-classes")
 
-    def key(h: Column) -> Column:  # the loop over all tokens: as few operations as possible
-        return table[h.bitwiseAND(CELLS - 1)].bitwiseOR(F.shiftrightunsigned(h, 5))
 
-    def bit(so_far: Column, h: Column) -> Column:
-        return so_far.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int")))
-
-    out = lines.withColumn("__h", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))))
-    return out.withColumns({"keys": F.sort_array(F.transform("__h", key)), "bits": F.aggregate("__h", F.lit(0).cast("long"), bit)}).drop("__h")
-
-
-def candidate_pairs(firsts: DataFrame, levels: list[int], similarity: Fraction) -> DataFrame:
+def candidate_pairs(firsts: DataFrame, similarity: Fraction) -> DataFrame:
     """Places ``(a_*, b_*)``, a before b, of the class representatives that pass every filter."""
     p, q = similarity.numerator, similarity.denominator
-    keyed = _tokens(firsts, levels).withColumn("n", F.size("keys"))
-    prefix = keyed.select(*ID, "n", "bits", F.posexplode(F.slice("keys", F.lit(1), F.expr(f"n - ((n * {p} + {q - 1}) div {q}) + 1").cast("int")))
-                          .alias("at", "token"))
-    side = lambda s: prefix.select("token", *[F.col(c).alias(f"{s}_{c}") for c in (*ID, "n", "bits", "at")])
+    prefix = firsts.select(*ID, "set.n", "set.skip", F.posexplode("set.prefix").alias("at", "token"))
+    prefix = prefix.select("token", *ID, "n", (F.col("at") + F.col("skip")).alias("at"))
+    side = lambda s: prefix.select("token", *[F.col(c).alias(f"{s}_{c}") for c in (*ID, "n", "at")])
     candidates = side("a").join(side("b"), "token").where(
-        "struct(a_doc, a_version, a_line_no) < struct(b_doc, b_version, b_line_no)"
+        "(a_doc < b_doc OR (a_doc = b_doc AND (a_version < b_version OR (a_version = b_version AND a_line_no < b_line_no))))"
         # length filter, and the positional filter: the overlap that is still possible reaches the needed one
-        f" AND a_n * {q} >= b_n * {p} AND b_n * {q} >= a_n * {p}"
-        f" AND least(a_n - a_at, b_n - b_at) * {p + q} >= (a_n + b_n) * {p}"
-        # every bit that only one side sets stands for a token that only one side has
-        f" AND bit_count(a_bits ^ b_bits) * {p + q} <= (a_n + b_n) * {q - p}")
+        f" AND a_n * {q}L >= b_n * {p}L AND b_n * {q}L >= a_n * {p}L"
+        f" AND least(a_n - a_at, b_n - b_at) * {p + q}L >= (a_n + b_n) * {p}L")
     return written(candidates.select(*PAIR).distinct(), "line-pairs")
 
 
+def _fetched(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Places and text of the lines that are in a pair."""
+    places = [pairs.select(*[F.col(f"{s}_{c}").alias(c) for c in ID]) for s in "ab"]
+    wanted = places[0].union(places[1]).groupBy("doc", "version").agg(F.collect_set("line_no").alias("__wanted"))
+    cut = texts.join(wanted, ["doc", "version"]).withColumn("__lines", F.split("text", "\n"))
+    lines = cut.select("doc", "version", "__lines", F.explode("__wanted").alias("line_no"))
+    return written(lines.select(*ID, F.get("__lines", "line_no").alias("line")), "line-texts")
+
+
 def similar_pairs(candidates: DataFrame, firsts: DataFrame, similarity: Fraction) -> DataFrame:
     """The candidates whose Jaccard similarity reaches ``similarity``; lines travel as text, words are cut where they are compared."""
     p, q = similarity.numerator, similarity.denominator
@@ -129,45 +120,45 @@ def similar_pairs(candidates: DataFrame, firsts: DataFrame, similarity: Fraction
     return compared.where("similar AND pair >= 0").select(*PAIR)
 
 
-def removed_lines(docs: DataFrame, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
-    """``(doc, version, line_no)`` of every line that matches an earlier one."""
-    lines = written(_classes(lines_of(docs)), "lines")
-    firsts = lines.where("first").select(*ID, "line")
-    pairs = candidate_pairs(firsts, _levels(firsts), similarity)
+def removed_lines(texts: DataFrame, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
+    """``(doc, version, line_no)`` of every line of the distinct ``texts(doc, version, text)`` that matches an earlier one."""
+    lines = _lines(texts, similarity)
+    pairs = candidate_pairs(lines.where("first"), similarity)
+    firsts = _fetched(texts, pairs)
     # one match is enough: each line meets its earliest candidate first, and the others only if that one fails
     b = PAIR[len(ID):]
     earliest = pairs.groupBy(*b).agg(F.min(F.struct(*PAIR[:len(ID)])).alias("a")).select("a.*", *b)
     hit = written(similar_pairs(earliest, firsts, similarity).select(*b), "line-matches")
     others = written(pairs.join(hit, b, "left_anti").select(*PAIR), "line-pairs-left")
     late = hit.union(similar_pairs(others, firsts, similarity).select(*b)).distinct()
-    return lines.where("later").select(*ID).union(late)
+    return lines.where("NOT first").select(*ID).union(late)
 
 
-def _per_document(docs: DataFrame, similarity: Fraction) -> DataFrame:
-    removed = removed_lines(docs, similarity)
+def _per_document(texts: DataFrame, similarity: Fraction) -> DataFrame:
+    removed = removed_lines(texts, similarity)
     return removed.groupBy("doc", "version").agg(F.sort_array(F.collect_set("line_no")).alias("__removed"))
 
 
-def _joined(base: DataFrame, docs: DataFrame, similarity: Fraction) -> DataFrame:
-    removed = _per_document(docs, similarity).select(F.col("doc").alias("__d"), F.col("version").alias("__v"), "__removed")
+def _joined(base: DataFrame, texts: DataFrame, similarity: Fraction) -> DataFrame:
+    removed = _per_document(texts, similarity).select(F.col("doc").alias("__d"), F.col("version").alias("__v"), "__removed")
     return base.join(removed, (F.col("__doc") == F.col("__d")) & (F.col("__version") == F.col("__v")), "left")
 
 
 def report(docs: DataFrame, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed_lines)`` per row; lines with a word count, line numbers start at 0."""
     n = F.size(F.filter(F.split(_text(), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _doc().alias("__doc"), F.xxhash64(_text()).alias("__version"),
-                       n.cast("long").alias("n_lines"))
+    placed, texts = _placed(docs)
+    base = placed.select(F.col("doc_id").cast("long").alias("doc_id"), "__doc", "__version", n.cast("long").alias("n_lines"))
     none = F.array().cast("array<int>")
-    return _joined(base, docs, similarity).select(
+    return _joined(base, texts, similarity).select(
         "doc_id", "n_lines", F.size(F.coalesce("__removed", none)).cast("long").alias("n_removed"),
         F.coalesce("__removed", none).alias("removed_lines"))
 
 
 def remove_matches(docs: DataFrame, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
     """``docs`` with removed lines taken out of ``text`` and ``n_chars`` (if there) brought up to date; null texts stay null."""
-    base = docs.withColumns({"__doc": _doc(), "__version": F.xxhash64(_text())})
-    out = _joined(base, docs, similarity).withColumn("__lines", F.split(F.col("text").cast("string"), "\n"))
+    base, texts = _placed(docs)
+    out = _joined(base, texts, similarity).withColumn("__lines", F.split(F.col("text").cast("string"), "\n"))
     out = out.withColumn("__keep", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__removed"))
     text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform("__keep", lambda i: F.get(F.col("__lines"), i)), "\n"))
