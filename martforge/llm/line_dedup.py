@@ -13,8 +13,9 @@ are never removed.
    counted over the whole corpus in a fixed number of hash cells, then by hash.
    Any total order makes the filters exact; rarity makes them selective.
 3. Prefix filter: similar lines share one of their first ``n - ceil(s n) + 1`` words.
-   Words that occur nowhere else leave the prefix.  The length filter and the positional
-   filter prune the equi-join on the rest.
+   Words that occur nowhere else leave the prefix.  The length filter, the positional
+   filter and a bound on the differing words from 128-bit signatures prune the equi-join
+   on the rest.
 4. Surviving pairs are verified by the exact Jaccard similarity of their words as text;
    only lines that are in a pair are fetched: a line meets its earliest candidate first,
    all others if that one fails.
@@ -79,20 +80,22 @@ def _lines(texts: DataFrame, similarity: Fraction) -> DataFrame:
     lines = written(prefixes(binary, levels(binary), similarity.numerator, similarity.denominator), "lines")
     first = lines.groupBy("h1", "h2").agg(F.min(F.struct(*ID)).alias("place"))
     marked = lines.join(first, ["h1", "h2"]).withColumn("first", F.struct(*ID) == F.col("place"))
-    return written(marked.select(*ID, "first", F.when(F.col("first"), F.struct("n", "skip", "prefix")).alias("set")), "line-classes")
+    return written(marked.select(*ID, "first", F.when(F.col("first"), F.struct("n", "skip", "s1", "s2", "prefix")).alias("set")), "line-classes")
 
 
 def candidate_pairs(firsts: DataFrame, similarity: Fraction) -> DataFrame:
     """Places ``(a_*, b_*)``, a before b, of the class representatives that pass every filter."""
     p, q = similarity.numerator, similarity.denominator
-    prefix = firsts.select(*ID, "set.n", "set.skip", F.posexplode("set.prefix").alias("at", "token"))
-    prefix = prefix.select("token", *ID, "n", (F.col("at") + F.col("skip")).alias("at"))
-    side = lambda s: prefix.select("token", *[F.col(c).alias(f"{s}_{c}") for c in (*ID, "n", "at")])
+    prefix = firsts.select(*ID, "set.n", "set.s1", "set.s2", "set.skip", F.posexplode("set.prefix").alias("at", "token"))
+    prefix = prefix.select("token", *ID, "n", "s1", "s2", (F.col("at") + F.col("skip")).alias("at"))
+    side = lambda s: prefix.select("token", *[F.col(c).alias(f"{s}_{c}") for c in (*ID, "n", "s1", "s2", "at")])
     candidates = side("a").join(side("b"), "token").where(
         "(a_doc < b_doc OR (a_doc = b_doc AND (a_version < b_version OR (a_version = b_version AND a_line_no < b_line_no))))"
         # length filter, and the positional filter: the overlap that is still possible reaches the needed one
         f" AND a_n * {q}L >= b_n * {p}L AND b_n * {q}L >= a_n * {p}L"
-        f" AND least(a_n - a_at, b_n - b_at) * {p + q}L >= (a_n + b_n) * {p}L")
+        f" AND least(a_n - a_at, b_n - b_at) * {p + q}L >= (a_n + b_n) * {p}L"
+        # every bit that only one side sets stands for a word that only one side has
+        f" AND (bit_count(a_s1 ^ b_s1) + bit_count(a_s2 ^ b_s2)) * {p + q}L <= (a_n + b_n) * {q - p}L")
     return written(candidates.select(*PAIR).distinct(), "line-pairs")
 
 

@@ -160,18 +160,18 @@ def levels(docs: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-PREFIXES = "doc long, version long, line_no int, h1 long, h2 long, n int, skip int, prefix array<long>"
+PREFIXES = "doc long, version long, line_no int, h1 long, h2 long, s1 long, s2 long, n int, skip int, prefix array<long>"
 
 
 def prefixes(docs: DataFrame, levels: np.ndarray, p: int, q: int) -> DataFrame:
     """Every line with a word of ``docs(doc, version, text binary)``, prepared for a join at similarity ``p / q``.
 
-    ``h1, h2`` tell its set of words; ``n`` is the set's size; ``prefix`` has its
+    ``h1, h2`` tell its set of words; ``s1, s2`` are 128 bits set by them; ``n`` is the set's size; ``prefix`` has its
     ``n - ceil(n p / q) + 1`` rarest words without the ``skip`` first ones, which occur nowhere else.
     """
     small_batches(docs.sparkSession)
     schema = pa.schema([("doc", pa.int64()), ("version", pa.int64()), ("line_no", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()),
-                        ("n", pa.int32()), ("skip", pa.int32()), ("prefix", pa.list_(pa.int64()))])
+                        ("s1", pa.int64()), ("s2", pa.int64()), ("n", pa.int32()), ("skip", pa.int32()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -191,11 +191,14 @@ def prefixes(docs: DataFrame, levels: np.ndarray, p: int, q: int) -> DataFrame:
                 shared = inside & ~s.single
                 offsets = np.append(0, np.cumsum(length - skip)).astype(np.int32)
                 row = w.text_of[some] + first
+                bit = np.uint64(1) << ((s.hash >> np.uint64(32)) & np.uint64(63))
+                upper = (s.hash >> np.uint64(38)) & np.uint64(1) == 1
+                signature = [np.bitwise_or.reduceat(np.where(of, bit, np.uint64(0)), begin).view(np.int64) for of in (~upper, upper)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(doc[row]), pa.array(version[row]), pa.array(w.number[some].astype(np.int32)),
                     pa.array(np.add.reduceat(mixed(s.hash), begin).view(np.int64)),
                     pa.array(np.add.reduceat(mixed(~s.hash), begin).view(np.int64)),
-                    pa.array(n.astype(np.int32)), pa.array(skip.astype(np.int32)),
+                    *map(pa.array, signature), pa.array(n.astype(np.int32)), pa.array(skip.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(s.hash[shared].view(np.int64)))], schema=schema)
 
     return docs.select("doc", "version", "text").mapInArrow(run, PREFIXES)
