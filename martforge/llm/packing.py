@@ -26,6 +26,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from martforge.llm.common import as_text, small_batches, text_bytes, written
+from martforge.llm.word_tokens import Merges
 
 _CACHE = 150_000  # remembered chunks of a generation; a worker process holds two
 _STEP = 1 << 20  # chunks whose ids are joined at a time
@@ -50,15 +52,76 @@ _OTHER_SPACE = regex.compile(r"[^\S \n]|[\x00\x1c-\x1f\x85]")
 # quick signs of it in UTF-8: ASCII controls, and the lead bytes of Unicode's white space
 _CONTROLS = b"\x00\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _LEADS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+_CONTROL = np.zeros(256, dtype=bool)
+_CONTROL[list(_CONTROLS)] = True
+# chunks of letters after at most one space are merged here, up to this many bytes
+_LONGEST = 32
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+
+
+def _merges(path: str) -> Merges | None:
+    """The merges of a byte-level file without other steps; a file of another layout is left to the library."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, cut = spec["model"], spec["pre_tokenizer"] or {}
+    plain = not any(model.get(k) for k in ("dropout", "ignore_merges", "end_of_word_suffix", "continuing_subword_prefix"))
+    known = (model["type"] == "BPE" and plain and not spec["normalizer"] and cut.get("type") == "ByteLevel"
+             and not cut.get("add_prefix_space") and cut.get("use_regex", True))
+    return Merges({**model, "end_of_word_suffix": ""}) if known else None
+
+
+def _bytes_and_offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column of strings, and where each one begins; one offset more for the end."""
+    raw = texts.cast(pa.large_binary())
+    if not len(raw):
+        return np.empty(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
+    offsets = np.frombuffer(raw.buffers()[1], dtype=np.int64)[raw.offset:raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2] or b"", dtype=np.uint8)[offsets[0]:offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+def _odd_texts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which texts are empty, hold two neighbours of space and line end, begin or end with one, or show signs of other white space."""
+    odd = np.diff(offsets) == 0
+    if not len(data):
+        return odd
+    blank = (data == 0x20) | (data == 0x0A)
+    bad = _CONTROL[data]
+    bad[:-1] |= blank[:-1] & blank[1:]  # a pair across two texts ends the first one, which is odd for that
+    for lead in _LEADS:
+        at = np.flatnonzero(data == lead[0])
+        for k, byte in enumerate(lead[1:], 1):
+            at = at[data[np.minimum(at + k, len(data) - 1)] == byte]
+        bad[at] = True
+    odd[np.searchsorted(offsets, np.flatnonzero(bad), side="right") - 1] = True
+    some = np.flatnonzero(np.diff(offsets))
+    odd[some] |= blank[offsets[some]] | blank[offsets[some + 1] - 1]
+    return odd
+
+
+def _letters_only(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which chunks are letters (ASCII, and the Latin-1 letters written with the byte C3) after at most one space."""
+    letter = _ASCII_LETTER[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)  # the second half of Latin-1 is letters but for two signs
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    letter[lead] = letter[lead + 1] = True
+    size = np.diff(offsets)
+    letters = np.diff(np.concatenate(([0], np.cumsum(letter)))[offsets])
+    spaced = np.zeros(len(size), dtype=np.int64)
+    some = size > 0
+    spaced[some] = data[offsets[:-1][some]] == 0x20
+    return (letters > 0) & (letters == size - spaced) & (size <= _LONGEST)
 
 
 class ChunkTokenizer:
-    """Ids of whole texts, as bytes, from remembered ids of their chunks.
+    """Ids of whole texts, from the ids of their distinct chunks.
 
     For a byte-level pre-tokenizer without a prefix space, a text may be cut where a
     run of spaces and line ends begins after another character: tokens never cross
-    that place.  The library itself tokenizes every chunk that is not remembered, many
-    per call, and whole texts that hold other white space.
+    that place.  Chunks of letters are one pre-token each; the distinct ones of a batch
+    are merged side by side.  The library itself tokenizes every other chunk that is not
+    remembered, many per call, and whole texts that hold other white space.
     """
 
     def __init__(self, path: str):
@@ -66,6 +129,7 @@ class ChunkTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.merges = _merges(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -91,13 +155,7 @@ class ChunkTokenizer:
 
     def batch_ids(self, texts: pa.Array) -> list[np.ndarray]:
         """As ``ids`` for an Arrow column; texts with single inner spaces only are cut and coded column-wise."""
-        odd = pc.match_substring(texts, "  ")
-        for sign in ("\n ", " \n", "\n\n", "\x00"):
-            odd = pc.or_(odd, pc.match_substring(texts, sign))
-        odd = odd.to_numpy(zero_copy_only=False)
-        for i in np.flatnonzero(~odd):
-            raw = memoryview(texts[i].as_buffer())
-            odd[i] = self._unusual(bytes(raw))
+        odd = _odd_texts(*_bytes_and_offsets(texts))
         out: list = [None] * len(texts)
         usual = np.flatnonzero(~odd)
         if len(usual):
@@ -114,20 +172,34 @@ class ChunkTokenizer:
             out[i] = got
         return out
 
-    @staticmethod
-    def _unusual(raw: bytes) -> bool:
-        return (not raw or raw[0] in b" \n" or raw[-1] in b" \n" or len(raw.translate(None, _CONTROLS)) < len(raw)
-                or any(lead in raw for lead in _LEADS))
-
     def _remember(self, chunk: str, ids: bytes) -> None:
         """Chunks that are in use move on to the younger generation; the older one goes as a whole."""
         if len(self.known) >= _CACHE:
             self.older, self.known = self.known, {}
         self.known[chunk] = ids
 
-    def _joined(self, distinct: pa.Array, codes: pa.Array, offsets: np.ndarray) -> list[np.ndarray]:
-        """Ids of the texts whose chunks are ``distinct[codes]`` between neighbouring offsets."""
-        words = distinct.to_numpy(zero_copy_only=False).tolist()
+    def _distinct(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first id of every chunk, number of its ids)."""
+        n = len(distinct)
+        own = np.empty(0, dtype=np.int64)
+        own_ids, own_first = np.empty(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+        if self.merges is not None and n:
+            data, offsets = _bytes_and_offsets(distinct)
+            own = np.flatnonzero(_letters_only(data, offsets))
+            size = np.diff(offsets)[own]
+            packed = data[np.repeat(offsets[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+            own_ids, own_first = self.merges.ids(packed, np.concatenate(([0], np.cumsum(size))))
+        left = np.ones(n, dtype=bool)
+        left[own] = False
+        other = np.flatnonzero(left)
+        found = self._by_library(distinct.take(pa.array(other)).to_pylist())
+        many = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        start, length = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
+        start[own], length[own] = own_first[:-1], np.diff(own_first)
+        start[other], length[other] = len(own_ids) + np.cumsum(many) - many, many
+        return np.concatenate([own_ids, np.frombuffer(b"".join(found), dtype="<u4")]), start, length
+
+    def _by_library(self, words: list[str]) -> list[bytes]:
         found = list(map(self.known.get, words))
         missing = []
         for i, ids in enumerate(found):
@@ -143,9 +215,11 @@ class ChunkTokenizer:
                 found[i] = array("I", got.ids).tobytes()
                 if len(words[i]) <= 64:
                     self._remember(words[i], found[i])
-        ids = np.frombuffer(b"".join(found), dtype="<u4")
-        length = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        start = np.cumsum(length) - length
+        return found
+
+    def _joined(self, distinct: pa.Array, codes: pa.Array, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of the texts whose chunks are ``distinct[codes]`` between neighbouring offsets."""
+        ids, start, length = self._distinct(distinct)
         codes = codes.to_numpy(zero_copy_only=False)
         ends = np.concatenate(([0], np.cumsum(length[codes])))
         at = ends[offsets]  # first id of each text
