@@ -12,10 +12,10 @@ dealt by the window's own hash: however often a window occurs, a bucket holds it
 The other occurrences of the windows that the merge finds repeated are joined back by the
 window.  In every bucket the strings form shards.  Each shard is suffix-sorted by itself and
 gives its Burrows-Wheeler transform.  The merge never sorts suffixes again: the interleave of
-the shards is refined once per byte of depth by a stable pass over the symbols before
-the suffixes.  Where two neighbours first part at depth h, their longest common prefix is
-h - 1; after ``length`` passes, the stretches without such a place are the repeated
-intervals.  In each, all windows but those of its smallest document are removed.
+the shards is refined once per byte of depth, through the symbols before the suffixes of
+those blocks that parted in the pass before; all others rest.  Where two neighbours first
+part at depth h, their longest common prefix is h - 1; after ``length`` passes, the
+stretches without such a place are the repeated intervals.  In each, all windows but those of its smallest document are removed.
 
 Null texts are empty.  Rows with a null ``doc_id`` come after all others and are not
 smaller than each other.  Rows that agree in ``doc_id`` and text get the same result.  Extra
@@ -51,14 +51,15 @@ def suffix_order(symbols: np.ndarray, ends: np.ndarray, longest: int) -> np.ndar
     for j in range(depth):  # 16 bits a symbol; what follows the closing 0 is no part of the suffix
         key = (key << np.uint64(16)) | np.where(to_end >= j, padded[j:j + n], 0)
     while True:
-        order = np.argsort(key, kind="stable")
-        new = np.append(True, key[order][1:] != key[order][:-1])[:n]
-        rank = np.empty(n, dtype=np.uint64)
+        order = np.argsort(key)  # ranks do not depend on the order of equal keys
+        sorted_key = key[order]
+        new = np.append(True, sorted_key[1:] != sorted_key[:-1])[:n]
+        rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(new)
         if depth > longest or new.all():
-            return order
+            return np.argsort(rank * n + place)
         follow = np.where(to_end >= depth, rank[np.minimum(place + depth, n - 1)], 0)
-        key = (rank << np.uint64(32)) | follow
+        key = (rank << 32) | follow
         depth *= 2
 
 
@@ -82,30 +83,56 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(places of all suffixes, in the order of their first ``depth`` symbols; longest common prefix with the one before).
 
     Common prefixes of ``depth`` or more are given as ``depth``.
+
+    A suffix is named by its number in the shards laid end to end, and ``block`` holds, for
+    every suffix, the place where the suffixes that agree with it so far begin; inside a block
+    they stand in the order of their numbers.  A block of depth h is one symbol before a block
+    of depth h - 1, so it can part only where that one has just parted: a pass looks at the
+    suffixes before those of parted blocks and at no others, and the merge ends with the last of them.
     """
-    width = np.uint16 if any(s.bwt.dtype == np.uint16 for s in shards) else np.uint8
-    bwt = np.concatenate([s.bwt.astype(width) for s in shards])
-    n, strings = len(bwt), sum(s.strings for s in shards)
-    closing = np.repeat(np.arange(len(shards), dtype=np.uint8), [s.strings for s in shards])
-    interleave = np.repeat(np.arange(len(shards), dtype=np.uint8), [s.size for s in shards])
-    block = np.zeros(n, dtype=np.int32)          # suffixes that agree so far
+    n = sum(s.size for s in shards)
+    before = np.full(n, -1, dtype=np.int64)   # the suffix one symbol longer; none before a string's own start
+    block = np.empty(n, dtype=np.int64)
+    bwt = np.concatenate([s.bwt for s in shards])
+    begins = np.concatenate([[0], np.cumsum([s.size for s in shards])]).tolist()
+    for s, at in zip(shards, begins):
+        order = np.argsort(s.bwt, kind="stable")[s.strings:]
+        before[at + order] = at + np.arange(s.strings, s.size)
+    # depth 1: the closing 0s stand in front, each by itself; the other suffixes by their first symbol
+    strings = sum(s.strings for s in shards)
+    counts = np.bincount(bwt, minlength=2)
+    counts[0] = strings
+    starts = np.cumsum(counts) - counts
+    longer = before >= 0
+    block[before[longer]] = starts[bwt[longer]]
+    closing = np.concatenate([at + np.arange(s.strings) for s, at in zip(shards, begins)])
+    block[closing] = np.arange(strings)
     common = np.full(n, depth, dtype=np.int16)
-    before = np.empty(n, dtype=width)
-    for h in range(1, depth + 1):
-        before[np.argsort(interleave, kind="stable")] = bwt   # each shard's symbols, in the current interleave
-        order = np.argsort(before, kind="stable")[strings:]   # strings' own starts leave; the closing 0s stay in front
-        symbol, was = before[order], block[order]
-        interleave = np.concatenate([closing, interleave[order]])
-        parts = np.ones(n, dtype=bool)
-        parts[strings + 1:] = (symbol[1:] != symbol[:-1]) | (was[1:] != was[:-1])
-        common[parts & (common == depth)] = h - 1
-        block = np.cumsum(parts, dtype=np.int32)
-        if parts.all():
+    common[:strings] = 0
+    common[starts[counts > 0]] = 0
+    parted = np.arange(n)
+    for h in range(1, depth):
+        late, parted = parted, before[parted]
+        late, parted = late[parted >= 0], parted[parted >= 0]
+        if not len(parted):
             break
-    common[0] = 0
-    places = np.empty(n, dtype=np.int64)
-    places[np.argsort(interleave, kind="stable")] = np.concatenate([s.place for s in shards])
-    return places, common
+        key = (block[parted] << 32) | block[late]
+        order = np.argsort(key)
+        key, parted = key[order], parted[order]
+        old = key >> 32
+        new_block = np.append(True, old[1:] != old[:-1])
+        new_part = np.append(True, key[1:] != key[:-1])
+        at = np.arange(len(key))
+        group = np.maximum.accumulate(np.where(new_block, at, 0))
+        inside = np.maximum.accumulate(np.where(new_part, at, 0)) - group
+        block[parted] = old + inside
+        cut = new_part & ~new_block
+        common[(old + inside)[cut]] = h
+        # blocks that parted now
+        number = np.cumsum(new_block) - 1
+        parted = parted[(np.bincount(number[cut], minlength=number[-1] + 1) > 0)[number]]
+    places = np.concatenate([s.place for s in shards])
+    return places[np.argsort(block * n + np.arange(n))], common
 
 
 def repeated_windows(strings: list[bytes], doc: np.ndarray, length: int, n_shards: int = SHARDS) -> list[tuple[int, int]]:
