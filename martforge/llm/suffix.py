@@ -47,9 +47,10 @@ def suffix_order(symbols: np.ndarray, ends: np.ndarray, longest: int) -> np.ndar
     to_end = np.repeat(ends, np.diff(np.append(-1, ends))) - place  # symbols before the closing 0
     padded = np.append(symbols, np.zeros(8, dtype=symbols.dtype)).astype(np.uint64)
     key = np.zeros(n, dtype=np.uint64)
-    depth = 4
-    for j in range(depth):  # 16 bits a symbol; what follows the closing 0 is no part of the suffix
-        key = (key << np.uint64(16)) | np.where(to_end >= j, padded[j:j + n], 0)
+    bits = 8 * symbols.itemsize
+    depth = 64 // bits
+    for j in range(depth):  # what follows the closing 0 is no part of the suffix
+        key = (key << np.uint64(bits)) | np.where(to_end >= j, padded[j:j + n], 0)
     while True:
         order = np.argsort(key)  # ranks do not depend on the order of equal keys
         sorted_key = key[order]
@@ -90,49 +91,45 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     of depth h - 1, so it can part only where that one has just parted: a pass looks at the
     suffixes before those of parted blocks and at no others, and the merge ends with the last of them.
     """
-    n = sum(s.size for s in shards)
-    before = np.full(n, -1, dtype=np.int64)   # the suffix one symbol longer; none before a string's own start
-    block = np.empty(n, dtype=np.int64)
+    n, strings = sum(s.size for s in shards), sum(s.strings for s in shards)
     bwt = np.concatenate([s.bwt for s in shards])
-    begins = np.concatenate([[0], np.cumsum([s.size for s in shards])]).tolist()
-    for s, at in zip(shards, begins):
-        order = np.argsort(s.bwt, kind="stable")[s.strings:]
-        before[at + order] = at + np.arange(s.strings, s.size)
+    before = np.full(n, -1, dtype=np.int32)   # the suffix one symbol longer; none before a string's own start
+    closing = np.empty(strings, dtype=np.int32)
+    at = strings_at = 0
+    for s in shards:
+        before[at + np.argsort(s.bwt, kind="stable")[s.strings:]] = at + np.arange(s.strings, s.size)
+        closing[strings_at:strings_at + s.strings] = at + np.arange(s.strings)
+        at, strings_at = at + s.size, strings_at + s.strings
     # depth 1: the closing 0s stand in front, each by itself; the other suffixes by their first symbol
-    strings = sum(s.strings for s in shards)
     counts = np.bincount(bwt, minlength=2)
-    counts[0] = strings
     starts = np.cumsum(counts) - counts
-    longer = before >= 0
+    block = np.empty(n, dtype=np.int32)
+    longer = np.argsort(bwt, kind="stable")[strings:]
     block[before[longer]] = starts[bwt[longer]]
-    closing = np.concatenate([at + np.arange(s.strings) for s, at in zip(shards, begins)])
     block[closing] = np.arange(strings)
     common = np.full(n, depth, dtype=np.int16)
     common[:strings] = 0
     common[starts[counts > 0]] = 0
-    parted = np.arange(n)
+    parted = np.concatenate([closing, before[longer]])   # always in the order of the blocks
     for h in range(1, depth):
-        late, parted = parted, before[parted]
-        late, parted = late[parted >= 0], parted[parted >= 0]
-        if not len(parted):
+        symbol = bwt[parted]
+        late = parted[np.argsort(symbol, kind="stable")[np.count_nonzero(symbol == 0):]]
+        if not len(late):
             break
-        key = (block[parted] << 32) | block[late]
-        order = np.argsort(key)
-        key, parted = key[order], parted[order]
-        old = key >> 32
+        parted = before[late]
+        old, by = block[parted], block[late]
         new_block = np.append(True, old[1:] != old[:-1])
-        new_part = np.append(True, key[1:] != key[:-1])
-        at = np.arange(len(key))
-        group = np.maximum.accumulate(np.where(new_block, at, 0))
-        inside = np.maximum.accumulate(np.where(new_part, at, 0)) - group
-        block[parted] = old + inside
-        cut = new_part & ~new_block
-        common[(old + inside)[cut]] = h
-        # blocks that parted now
-        number = np.cumsum(new_block) - 1
-        parted = parted[(np.bincount(number[cut], minlength=number[-1] + 1) > 0)[number]]
+        part = np.flatnonzero(new_block | np.append(True, by[1:] != by[:-1]))
+        first = new_block[part]
+        number = np.cumsum(first) - 1
+        inside = part - part[first][number]
+        start = old[part] + inside
+        size = np.diff(np.append(part, len(parted)))
+        block[parted] = np.repeat(start, size)
+        common[start[inside > 0]] = h
+        parted = parted[np.repeat((np.bincount(number) > 1)[number], size)]
     places = np.concatenate([s.place for s in shards])
-    return places[np.argsort(block * n + np.arange(n))], common
+    return places[np.argsort(block, kind="stable")], common
 
 
 def repeated_windows(strings: list[bytes], doc: np.ndarray, length: int, n_shards: int = SHARDS) -> list[tuple[int, int]]:
