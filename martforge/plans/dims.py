@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from martforge import schemas as S
 from martforge.functions import columns as C
 from martforge.operators.keys import surrogate_key
+from martforge.operators.late_snapshots import OBSERVED, splice
 from martforge.operators.scd2 import scd2_apply
 from martforge.operators.sinks import insert_if_absent, upsert
 
@@ -123,6 +124,17 @@ def dim_customer(existing: DataFrame, customers: DataFrame, run_ts) -> DataFrame
                       first_from="signup_ts", surrogate="customer_key")
 
 
+def customer_log(customers: DataFrame) -> DataFrame:
+    """The log of customer snapshots, still empty; ``customers`` gives the column types."""
+    return customer_snapshot(customers).withColumn(OBSERVED, F.lit(None).cast("timestamp_ntz")).where("false")
+
+
+def dim_customer_any_order(existing: DataFrame, log: DataFrame, customers: DataFrame, run_ts) -> tuple[DataFrame, DataFrame]:
+    """(dimension, log) after a snapshot that may be older than those applied before."""
+    return splice(existing, log, customer_snapshot(customers), run_ts, natural_key="customer_id", tracked=TRACKED,
+                  first_from="signup_ts", surrogate="customer_key")
+
+
 # --- product (SCD1) ----------------------------------------------------------------
 PRODUCT_UPDATES = ("sku", "name", "category", "subcategory", "current_unit_price", "current_list_price", "is_active")
 

@@ -335,6 +335,18 @@ def dim_customer_scd2(spark, sf):
     return _customer_natural(_marts(spark, sf)["dim_customer"], spark, sf)
 
 
+@query
+def dim_customer_late_snapshots(spark, sf):
+    """Three snapshots, the oldest arriving last: customers move in the second one and back in the third."""
+    w, store = warehouse(spark, sf), TableStore(spark)
+    first, second = w["run1.staging.customers"], w["run2.staging.customers"]
+    dim, log = dims.empty(spark, dims.DIM_CUSTOMER_SCHEMA), dims.customer_log(first)
+    for customers, run_ts in ((second, fixtures.RUN_TS_2), (first, fixtures.RUN_TS_3), (first, fixtures.RUN_TS_1)):
+        dim, log = dims.dim_customer_any_order(dim, log, customers, run_ts)
+        dim, log = store.materialize("late.dim_customer", dim), store.materialize("late.customer_log", log)
+    return _customer_natural(dim, spark, sf)
+
+
 # --- facts -------------------------------------------------------------------------------
 @query
 def asof_customer_join(spark, sf):

@@ -18,6 +18,7 @@ from martforge import schemas as S
 # Fixed values of the fixture mapping.
 RUN_TS_1 = "2001-01-15 00:00:00"       # load time of the first run
 RUN_TS_2 = "2001-02-01 00:00:00"       # second run: customer snapshot with movers
+RUN_TS_3 = "2001-03-01 00:00:00"       # a third snapshot, equal to the first; in the late-snapshot query only
 SIGNUP_EPOCH = "1995-01-01"            # signup = epoch + (custkey % 365) days
 SESSION_SHIFT_DAYS = 10532             # moves the event stream into March 1995
 OPTIN_TRUE_SPELLINGS = ["True", "1", " yes ", "t"]      # by custkey % 4
