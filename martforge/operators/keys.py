@@ -29,3 +29,32 @@ def dense_surrogate_keys(df: DataFrame, natural_key: Sequence[str], out: str = "
     from martforge.operators.ranking import global_row_number
     numbered, _ = global_row_number(df, list(natural_key), out=out)
     return numbered.withColumn(out, (F.col(out) + F.lit(offset)).cast("long"))
+
+
+def assign_keys(key_map: DataFrame, rows: DataFrame, natural_key: Sequence[str], out: str = "surrogate_key") -> DataFrame:
+    """The map natural key -> dense BIGINT key, with the natural keys of ``rows`` that it did not hold.
+
+    Keys once given never change, whatever a load brings; new ones go on from the greatest
+    key, in natural-key order, numbered over range partitions.  No hash decides, so no two
+    natural keys can meet.  Parts of a natural key may be NULL (they agree with each other);
+    repeated rows get one key; with nothing new the map stays as it is.  ``key_map`` is read
+    twice: hand in a written table, and write what comes back as its next version.
+    """
+    names = list(natural_key)
+    held = key_map.select(*[F.col(c).alias(f"__held_{c}") for c in names])
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"__held_{c}"))
+    new = rows.select(*names).distinct().join(held, same, "left_anti")
+    last = key_map.agg(F.max(out).alias("k")).first()["k"] or 0   # one value
+    return key_map.unionByName(dense_surrogate_keys(new, names, out, offset=last).select(*key_map.columns))
+
+
+def with_keys(rows: DataFrame, key_map: DataFrame, natural_key: Sequence[str], out: str = "surrogate_key") -> DataFrame:
+    """``rows`` with the key of each natural key; NULL where the map does not hold it."""
+    names = list(natural_key)
+    held = key_map.select(*[F.col(c).alias(f"__held_{c}") for c in names], out)
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"__held_{c}"))
+    return rows.join(held, same, "left").select(*rows.columns, out)

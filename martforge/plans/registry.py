@@ -17,6 +17,7 @@ from martforge import schemas as S
 from martforge.operators import checks, contracts, quality
 from martforge.operators.dedup import dedup_latest
 from martforge.operators.joins import asof_window_join
+from martforge.operators.keys import assign_keys
 from martforge.operators.ranking import ntile_distributed
 from martforge.operators.scd2 import scd2_changes, scd2_new
 from martforge.plans import dims, facts, propagate, quarantine, staging
@@ -347,6 +348,16 @@ def dim_customer_late_snapshots(spark, sf):
     return _customer_natural(dim, spark, sf)
 
 
+@query
+def customer_key_map(spark, sf):
+    """Dense keys of the customer versions: those of the first load keep theirs when the second load adds its own."""
+    w, store, natural = warehouse(spark, sf), TableStore(spark), ["customer_id", "effective_from"]
+    keys = spark.createDataFrame([], "customer_id long, effective_from timestamp_ntz, version_no long")
+    for versions in (w["run2.marts.dim_customer_before"], _marts(spark, sf)["dim_customer"]):
+        keys = store.materialize("keys.customer_versions", assign_keys(keys, versions, natural, out="version_no"))
+    return keys
+
+
 # --- facts -------------------------------------------------------------------------------
 @query
 def asof_customer_join(spark, sf):
