@@ -123,3 +123,77 @@ def test_records_that_do_not_parse_are_kept(spark, tmp_path):
     bad = [(r["feed"], r["record"]) for r in quarantine.rejects(routed).where("reason = 'unparsed'").collect()]
     assert sorted(bad) == [("orders", "11,1,2021-01-01 10:00:00,placed"), ("orders", "12,1,2021-01-01 10:00:00,placed,web,,,more,fields")]
     assert rows(quarantine.accepted_rows(routed, "orders"), "order_id") == [(10,)]
+
+
+def planted(spark):
+    """Feeds where keys repeat with equal and other contents, references are blank or lost, and keys do not parse."""
+    f = feeds(spark)
+    day = lambda i: L1 + dt.timedelta(days=i)
+    f["orders"] = raw(spark, "orders", [(o, c, "2021-01-01 10:00:00", s, "web", "", "", day(i % 3)) for i, (o, c, s) in enumerate(
+        (o, c, s) for o in ("10", " 10", "11", "12", "x", None) for c in ("1", "7", None) for s in ("placed", "lost"))])
+    f["order_items"] = raw(spark, "order_items", [(o, n, p, q, "1.50", day(i % 2)) for i, (o, n, p, q) in enumerate(
+        (o, n, p, q) for o in ("10", "11", "99", "x", None) for n in ("1", " 1", "2", "first") for p in ("5", "6", "none", None) for q in ("1", "0", "1"))])
+    s0 = f["sessions"].first().asDict()
+    f["sessions"] = raw(spark, "sessions", [tuple({**s0, "session_id": k, "customer_id": c, "pages_viewed": str(n)}.values()) for k in (
+        "0" * 8 + "-0000-4000-8000-" + "0" * 12, "1" * 8 + "-0000-4000-8000-" + "1" * 12, "none", None) for c in ("", "1", "77", "guest", None) for n in (1, 1, 2)])
+    return f
+
+
+def test_hot_keys_take_another_path_to_the_same_outcome(spark, tmp_path, monkeypatch):
+    f, found = planted(spark), {}
+    for limit in (1_000_000, 40, 0):    # no hot key, some, all
+        monkeypatch.setattr(quarantine, "HOT_ROWS", limit)
+        routed = quarantine.route_all(f, TableStore(spark, f"{tmp_path}/{limit}"))
+        found[limit] = {feed: rows(df) for feed, df in routed.items()}
+    assert found[1_000_000] == found[40] == found[0]
+    for feed, got in found[0].items():
+        assert len(got) == f[feed].count()
+    assert {r[-2] for r in found[0]["order_items"]} == {"missing_required", "bad_key", "superseded", "orphan"}
+
+
+def test_rows_are_stored_once_and_travel_as_raw_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quarantine, "HOT_ROWS", 1_000_000, raising=False)
+    seen, plain = {}, TableStore.write_version
+
+    def write(self, name, df, partition_by=None):
+        seen[name.rsplit(".", 1)[-1]] = df
+        return plain(self, name, df, partition_by)
+    monkeypatch.setattr(TableStore, "write_version", write)
+    quarantine.route_all(planted(spark), TableStore(spark, str(tmp_path)))
+    assert set(seen) == set(S.FEEDS)     # no table of flagged rows beside the routed ones
+    assert "record" not in seen["order_items"].columns
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = seen["order_items"].select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # lines meet the products, then the other lines and the order of their key; each parent comes to them once
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_queries_on_raw_feeds_need_no_build(spark, monkeypatch):
+    from martforge.plans import registry
+    data = "/root/testdata/sf0.001"
+    monkeypatch.setattr(warehouse, "_BUILT", {})
+    monkeypatch.setattr(warehouse, "_saved", lambda *a: None, raising=False)
+    monkeypatch.setattr(warehouse, "build_from_feeds", lambda *a, **k: pytest.fail("built"))
+    monkeypatch.setattr(registry, "warehouse", lambda *a: pytest.fail("built"))
+    assert registry.REGISTRY["stg_reject_summary"](spark, data).count() == 1
+
+
+def test_tasks_are_bounded_whatever_the_number_of_partitions(spark):
+    from martforge.session import BOUNDED_TASKS_CONF, apply_bounded_tasks_conf
+    for k, v in BOUNDED_TASKS_CONF.items():
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7m")
+    try:
+        apply_bounded_tasks_conf(spark)
+        got = {k: spark.conf.get(k) for k in BOUNDED_TASKS_CONF}
+        assert got == {**BOUNDED_TASKS_CONF, "spark.sql.files.maxPartitionBytes": "7m"}     # the session's own setting stays
+    finally:
+        for k in BOUNDED_TASKS_CONF:
+            spark.conf.unset(k)
