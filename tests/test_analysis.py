@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from martforge.plans import dims
 from martforge.plans.analysis import funnel, product, rfm, timeseries
+from martforge.sources.store import TableStore
+from tests.conftest import rows
 
 
 def test_segment_matrix_all_125_cells(spark):
@@ -147,3 +149,21 @@ def test_late_order_attaches_to_version_valid_at_order_time(spark):
     got = {r["order_id"]: r for r in facts.fact_orders(orders, items, prod, dim_c).collect()}
     assert got[100]["customer_key"] == 11 and got[101]["customer_key"] == 10
     assert got[101]["discount_amount"] == Decimal("1.01") and got[101]["net_revenue"] == Decimal("9.04")   # 1.005 rounds up
+
+
+def test_quarters_are_compared_before_attributes_are_joined(spark, monkeypatch):
+    facts = spark.createDataFrame([(p, 1, 20200101 + 100 * q, "placed", 10 * p + q, 1) for p in (1, 2, 3) for q in (0, 3, 6)],
+                                  "product_key long, customer_key long, order_date_key int, status string, net_revenue int, quantity int")
+    dates = spark.createDataFrame([(20200101 + 100 * q, 2020, q // 3 + 1) for q in (0, 3, 6)], "date_key int, year int, quarter int").withColumn("full_date", F.lit(None))
+    products = spark.createDataFrame([(p, p, f"n{p}", "c", "s") for p in (1, 2)], "product_key long, product_id long, name string, category string, subcategory string")
+    marts = {"fact_orders": facts.withColumn("net_revenue", F.col("net_revenue").cast("decimal(18,2)")), "dim_date": dates, "dim_product": products}
+    plans, plain = {}, TableStore.write_version
+
+    def seen(self, name, df, partition_by=None):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        return plain(self, name, df, partition_by)
+    monkeypatch.setattr(TableStore, "write_version", seen)
+    got = rows(product.top_products_latest_quarter(marts), "product_id", "quarter", "rank_in_category", "prev_quarter_revenue")
+    assert [(a, b, c, int(d)) for a, b, c, d in got] == [(1, 3, 2, 13), (2, 3, 1, 23)]   # a product without a row has none
+    depth = {what: next(len(line) - len(line.lstrip(" :+-")) for line in plans["product_quarter"] if f"{what} " in line) for what in ("Window", "Join")}
+    assert depth["Join"] < depth["Window"]     # names and categories do not travel with the quarters
