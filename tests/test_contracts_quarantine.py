@@ -197,3 +197,12 @@ def test_tasks_are_bounded_whatever_the_number_of_partitions(spark):
     finally:
         for k in BOUNDED_TASKS_CONF:
             spark.conf.unset(k)
+
+
+def test_a_stored_table_can_be_read_in_small_parts(spark, tmp_path):
+    import glob
+    import pyarrow.parquet as pq
+    store = TableStore(spark, str(tmp_path))
+    version = store.write_version("t", spark.range(0, 5_000_000, 1, 1).selectExpr("hash(id) a", "xxhash64(id) b", "xxhash64(id + 1) c"))
+    found = [pq.ParquetFile(f).metadata for f in glob.glob(f"{tmp_path}/t/v={version}/*.parquet")]
+    assert sum(m.num_row_groups for m in found) > 4    # about 100 MB
