@@ -118,8 +118,8 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
             first, size = i + 1, 0
 
 
-def levels(docs: DataFrame) -> np.ndarray:
-    """Magnitude of the occurrences in every cell (0: one occurrence at most), over all texts of ``docs(text binary)``."""
+def level_parts(docs: DataFrame) -> DataFrame:
+    """``(part, level)``: the bytes of ``levels`` in ``PARTS`` pieces."""
     small_batches(docs.sparkSession)
     width = CELLS // PARTS
 
@@ -136,26 +136,29 @@ def levels(docs: DataFrame) -> np.ndarray:
         return pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([share] * PARTS, pa.int32()),
                                            pa.array([c.astype("<i8").tobytes() for c in counts], pa.binary())], names=["part", "share", "counts"])
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(width, dtype=np.int64)
+    def total(table: pa.Table) -> np.ndarray:
+        out = np.zeros(width, dtype=np.int64)
         for raw in table.column("counts"):
-            total += np.frombuffer(raw.as_buffer(), dtype="<i8")
-        return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "share": pa.array([0], pa.int32()),
-                         "counts": pa.array([total.tobytes()], pa.binary())})
+            out += np.frombuffer(raw.as_buffer(), dtype="<i8")
+        return out
 
-    schema = "part int, share int, counts binary"
-    total = docs.select("text").mapInArrow(count, schema)
-    for keys in (("part", "share"), ("part",)):
-        total = total.groupBy(*keys).applyInArrow(add, schema)
+    def add(table: pa.Table) -> pa.Table:
+        return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "counts": pa.array([total(table).tobytes()], pa.binary())})
 
-    def magnitude(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [np.frombuffer(raw.as_buffer(), dtype="<i8") for raw in b.column("counts")]
-            found = [np.minimum(2 * np.log2(np.maximum(c, 1)), (1 << LEVEL_BITS) - 1).astype(np.uint8).tobytes() for c in found]
-            yield pa.RecordBatch.from_arrays([b.column("part"), pa.array(found, pa.binary())], names=["part", "level"])
+    def magnitude(table: pa.Table) -> pa.Table:
+        level = np.minimum(2 * np.log2(np.maximum(total(table), 1)), (1 << LEVEL_BITS) - 1).astype(np.uint8)
+        return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "level": pa.array([level.tobytes()], pa.binary())})
 
-    out = np.zeros((PARTS, width), dtype=np.uint8)
-    for r in total.mapInArrow(magnitude, "part int, level binary").collect():     # a byte per cell
+    # one Python operator a stage: with two, every core of an executor holds two workers for the rest of the application
+    counted = docs.select("text").mapInArrow(count, "part int, share int, counts binary")
+    added = counted.groupBy("part", "share").applyInArrow(add, "part int, counts binary")
+    return added.groupBy("part").applyInArrow(magnitude, "part int, level binary")
+
+
+def levels(docs: DataFrame) -> np.ndarray:
+    """Magnitude of the occurrences in every cell (0: one occurrence at most), over all texts of ``docs(text binary)``."""
+    out = np.zeros((PARTS, CELLS // PARTS), dtype=np.uint8)
+    for r in level_parts(docs).collect():     # a byte per cell
         out[r["part"]] = np.frombuffer(bytes(r["level"]), dtype=np.uint8)
     return out.reshape(-1)
 

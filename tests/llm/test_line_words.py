@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from martforge.llm import line_dedup, line_words
 from tests.llm.helpers import awkward_texts, frame
@@ -55,3 +56,10 @@ def test_line_that_a_third_of_all_documents_share(spark):
     texts = [f"own{i} line{i} of{i} this{i} text{i}" + ("\nthe very same line everywhere" if i % 3 == 0 else "") for i in range(600)]
     got = {r.doc_id: (r.n_lines, list(r.removed_lines)) for r in line_dedup.report(frame(spark, texts)).collect()}
     assert got == {i: (2, [1] if i else []) if i % 3 == 0 else (1, []) for i in range(600)}
+
+
+def test_no_stage_of_the_levels_runs_two_python_operators(spark):
+    texts = frame(spark, awkward_texts(4)).select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    plan = line_words.level_parts(texts)._jdf.queryExecution().executedPlan().toString()
+    stages = [stage.count("InArrow") for stage in plan.split("Exchange ")]
+    assert sum(stages) == 3 and max(stages) == 1, plan
