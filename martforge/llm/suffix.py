@@ -40,27 +40,43 @@ BUCKET_BYTES = 300_000
 SHARDS = 4
 
 
+def _ordered(key: np.ndarray, bits: int, place: np.ndarray, place_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(``place`` by ``key`` of ``bits`` bits, equal keys by place; the keys in that order)."""
+    if bits + place_bits <= 64:  # one sort of plain numbers, which is much quicker than a sort of places
+        both = np.sort((key << np.uint64(place_bits)) | place.astype(np.uint64))
+        return (both & np.uint64((1 << place_bits) - 1)).astype(np.int64), both >> np.uint64(place_bits)
+    order = np.lexsort((place, key))
+    return place[order], key[order]
+
+
 def suffix_order(symbols: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray:
-    """Sorted suffixes of the strings in ``symbols``, each closed by a 0 at ``ends``; equal suffixes by place."""
+    """Sorted suffixes of the strings in ``symbols``, each closed by a 0 at ``ends``; equal suffixes by place.
+
+    Prefix doubling: a suffix ranks by the place where those that agree with it so far begin.
+    A suffix that agrees with no other rests, and so do suffixes that are equal to their closing 0.
+    """
     n = len(symbols)
     place = np.arange(n)
     to_end = np.repeat(ends, np.diff(np.append(-1, ends))) - place  # symbols before the closing 0
-    padded = np.append(symbols, np.zeros(8, dtype=symbols.dtype)).astype(np.uint64)
+    place_bits, bits = n.bit_length(), int(symbols.max()).bit_length() or 1
+    depth = max(1, min(8, (64 - place_bits) // bits))
+    padded = np.append(symbols, np.zeros(depth, dtype=symbols.dtype)).astype(np.uint64)
     key = np.zeros(n, dtype=np.uint64)
-    bits = 8 * symbols.itemsize
-    depth = 64 // bits
     for j in range(depth):  # what follows the closing 0 is no part of the suffix
         key = (key << np.uint64(bits)) | np.where(to_end >= j, padded[j:j + n], 0)
+    order, key = _ordered(key, depth * bits, place, place_bits)
+    rank = np.empty(n, dtype=np.int64)
+    at = place  # places in the order that are not settled yet
     while True:
-        order = np.argsort(key)  # ranks do not depend on the order of equal keys
-        sorted_key = key[order]
-        new = np.append(True, sorted_key[1:] != sorted_key[:-1])[:n]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(new)
-        if depth > longest or new.all():
-            return np.argsort(rank * n + place)
-        follow = np.where(to_end >= depth, rank[np.minimum(place + depth, n - 1)], 0)
-        key = (rank << 32) | follow
+        new = np.append(True, key[1:] != key[:-1])[:len(key)]
+        rank[order[at]] = at[np.flatnonzero(new)][np.cumsum(new) - 1]
+        alone = new & np.append(new[1:], True)
+        at = at[~alone & (to_end[order[at]] >= depth)]
+        if not len(at) or depth > longest:
+            return order
+        waiting = order[at]
+        key = (rank[waiting].astype(np.uint64) << np.uint64(place_bits)) | rank[waiting + depth].astype(np.uint64)
+        order[at], key = _ordered(key, 2 * place_bits, waiting, place_bits)
         depth *= 2
 
 
@@ -93,8 +109,8 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """
     n, strings = sum(s.size for s in shards), sum(s.strings for s in shards)
     bwt = np.concatenate([s.bwt for s in shards])
-    before = np.full(n, -1, dtype=np.int32)   # the suffix one symbol longer; none before a string's own start
-    closing = np.empty(strings, dtype=np.int32)
+    before = np.full(n, -1)   # as wide as an index, so that no pass converts it: the suffix one symbol longer; none before a string's own start
+    closing = np.empty(strings, dtype=np.int64)
     at = strings_at = 0
     for s in shards:
         before[at + np.argsort(s.bwt, kind="stable")[s.strings:]] = at + np.arange(s.strings, s.size)
@@ -144,7 +160,7 @@ def repeated_windows(strings: list[bytes], doc: np.ndarray, length: int, n_shard
     same[0] = False
     interval = np.cumsum(~same) - 1
     first = np.flatnonzero(~same)
-    string = np.searchsorted(begins, places, side="right") - 1
+    string = np.repeat(np.arange(len(strings), dtype=np.int32), np.diff(begins))[places]
     owner = doc[string]
     smallest = np.minimum.reduceat(owner, first)
     late = np.flatnonzero(owner > smallest[interval])

@@ -187,6 +187,41 @@ def test_merge_equals_sorting_all_suffixes():
             assert n == min(shared, 30)
 
 
+def suffixes_of(strings):
+    """(symbols, ends) as ``suffix_order`` takes them, and its answer by sorting."""
+    begins = np.cumsum([0, *[len(s) + 1 for s in strings]])
+    symbols = np.frombuffer(b"\x00".join(strings) + b"\x00", dtype=np.uint8).astype(np.uint16) + np.uint16(1)
+    symbols[begins[1:] - 1] = 0
+    places = [(s[p:], int(b) + p) for s, b in zip(strings, begins) for p in range(len(s) + 1)]
+    return symbols, begins[1:] - 1, [place for _, place in sorted(places)]
+
+
+@pytest.mark.parametrize("narrow", [False, True])
+def test_suffix_order_equal_suffixes_by_place(narrow, monkeypatch):
+    if narrow:  # as with so many suffixes that ranks and places do not fit one number
+        ordered = suffix._ordered
+        monkeypatch.setattr(suffix, "_ordered", lambda key, bits, place, place_bits: ordered(key, 65, place, place_bits))
+    r = random.Random(8)
+    for alphabet in (b"a", b"ab", bytes(range(256)), b"\x00\xff"):
+        for _ in range(15):
+            strings = [bytes(r.choice(alphabet) for _ in range(r.choice([0, 1, 7, 60]))) for _ in range(r.randint(1, 12))]
+            strings += r.sample(strings, len(strings) // 2)
+            symbols, ends, want = suffixes_of(strings)
+            assert suffix.suffix_order(symbols, ends, max(map(len, strings)) + 1).tolist() == want
+
+
+def test_suffix_order_suffixes_that_agree_with_no_other_rest(monkeypatch):
+    sorted_keys, ordered = [], suffix._ordered
+    monkeypatch.setattr(suffix, "_ordered", lambda key, *rest: sorted_keys.append(len(key)) or ordered(key, *rest))
+    r = random.Random(9)
+    strings = [bytes(r.choice(b"abcdefgh") for _ in range(70)) for _ in range(40)]
+    strings.append(strings[0])
+    symbols, ends, want = suffixes_of(strings)
+    assert suffix.suffix_order(symbols, ends, 71).tolist() == want
+    # the two equal strings alone are looked at again, and their suffixes rest when they have ended
+    assert sorted_keys[0] == len(symbols) and sum(sorted_keys[1:]) < len(symbols) // 4
+
+
 def test_segments_cover_every_window_once_across_blocks(monkeypatch):
     from martforge.llm import anchors
     monkeypatch.setattr(anchors, "BLOCK", 64)
